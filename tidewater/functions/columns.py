@@ -51,7 +51,7 @@ def mask_email(col: Column) -> Column:
 
 
 def mask_phone(col: Column) -> Column:
-    return F.concat(F.lit("***-***-"), F.right(col, F.lit(4)))
+    return F.concat(F.lit("***-***-"), F.right(F.regexp_replace(col, "[^0-9]", ""), F.lit(4)))
 
 
 def fresh(prefix: str, taken: Sequence[str]) -> str:

@@ -18,6 +18,8 @@ TARGET_ROWS = 100_000
 #: Keys that are split. A key beyond the list holds less than 1/MAX_KEYS of the rows that the
 #: listed ones hold together, so one task can take it.
 MAX_KEYS = 1_000
+#: An input that the optimizer estimates below this fits one task whatever its keys.
+SMALL_BYTES = 8 << 20
 #: Blocks per key, so summaries stay small.
 MAX_BLOCKS = 1_024
 
@@ -36,8 +38,11 @@ class Heavy:
 def find_heavy(df: DataFrame, keys: list[str], at: str, target_rows: int = TARGET_ROWS) -> Heavy:
     """Keys with more than ``target_rows`` rows. ``at`` is a bigint position (time) column.
 
-    Counts are combined before the shuffle; at most MAX_KEYS rows reach the driver.
+    Counts are combined before the shuffle; at most MAX_KEYS rows reach the driver. Inputs below
+    SMALL_BYTES are not counted unless the caller wants smaller blocks than usual.
     """
+    if target_rows >= TARGET_ROWS and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SMALL_BYTES:
+        return Heavy((), ())
     found = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"), F.min(at).alias("__lo"), F.max(at).alias("__hi"))
