@@ -120,7 +120,7 @@ def _anti(child: DataFrame, parent: DataFrame, refs: list[tuple[str, str]], as_o
 
 def _file_periods(held: DataFrame, heavy: Heavy, keys: list[str]) -> DataFrame:
     low = with_block(held, heavy, keys, "__from", "__lo")
-    both = with_block(low.withColumn("__last", F.col("__to") - 1), heavy, keys, "__last", "__hi")
+    both = with_block(low.withColumn("__last", F.least(F.col("__to") - 1, F.lit(1 << 61))), heavy, keys, "__last", "__hi")
     top = F.lit(2_000)  # no key has so many cells: find_heavy makes MAX_BLOCKS at most
     cells = F.when(F.col("__lo").isNull(), F.array(F.lit(-1).cast("bigint"))).otherwise(
         F.when(F.col("__hi") >= 0, F.sequence(F.greatest("__lo", F.lit(0).cast("bigint")), F.greatest(F.lit(0).cast("bigint"), F.least("__hi", top.cast("bigint")))))
