@@ -66,33 +66,72 @@ def index(chunked: DataFrame, chunk_id: str, text: Column) -> tuple[DataFrame, D
     return postings, df, stats
 
 
-def _uses(word: str) -> Column:
-    return F.size(F.filter("terms", lambda x: x == F.lit(word))).cast("double")
+_EDGE, _END = "(?<![a-z0-9])", "(?![a-z0-9])"
+
+
+def _uses(low: Column, words: list[str]) -> Column:
+    """How often any of the words stands in lower-case text; one pass of one pattern."""
+    return F.regexp_count(low, F.lit(f"{_EDGE}(?:{'|'.join(words)}){_END}")).cast("double")
+
+
+def _asked(spark, query: str) -> list[str]:
+    return sorted(set(spark.range(1).select(terms(F.lit(query)).alias("t")).first()["t"]))
+
+
+def _score(wanted: list[str], df: list[float], n: float, avgdl: float) -> tuple[Column, Column]:
+    """BM25 and number of matched terms over columns dl, tf0, tf1, ..."""
+    score, matched = F.lit(0.0), F.lit(0)
+    for i in range(len(wanted)):
+        tf = F.col(f"tf{i}")
+        idf = F.log(F.lit(1.0) + (F.lit(n) - F.lit(df[i]) + F.lit(0.5)) / (F.lit(df[i]) + F.lit(0.5)))
+        norm = tf + F.lit(K1) * (F.lit(1.0 - B) + F.lit(B) * F.col("dl") / F.lit(avgdl))
+        score = score + F.when(tf > 0, idf * tf * F.lit(K1 + 1.0) / norm).otherwise(F.lit(0.0))
+        matched = matched + (tf > 0).cast("int")
+    return F.round(score, 6), matched
+
+
+def _best(hits: DataFrame, wanted: list[str], score: Column, matched: Column, top_k: int, minimum: float) -> DataFrame:
+    found = hits.where(matched >= min(2, len(wanted))).where("ok").select("chunk_id", score.alias("score"))
+    return found.where(F.col("score") >= minimum).orderBy(F.col("score").desc(), "chunk_id").limit(top_k)
 
 
 def search(chunked: DataFrame, chunk_id: str, text: Column, query: str, top_k: int = 10, minimum: float = 0.0, allowed: Column | None = None) -> DataFrame:
     """(chunk_id, score): the best ``top_k`` by BM25, ties by id.
 
     At least two of the query's distinct terms must match, or its only one. Statistics cover all
-    chunks, also those that ``allowed`` hides from the result. Only chunks with a query term are
-    scored, so what is shuffled follows the matches, not the corpus. A query without terms finds
-    nothing.
+    chunks, also those that ``allowed`` hides from the result. Terms are counted in the text where
+    it lies, so nothing but the statistics and the best rows of each task moves. A query without
+    terms finds nothing.
     """
-    spark = chunked.sparkSession
-    asked = spark.range(1).select(terms(F.lit(query)).alias("t")).first()["t"]
-    wanted = sorted(set(asked))
+    wanted = _asked(chunked.sparkSession, query)
     if not wanted:
         return chunked.select(F.col(chunk_id).alias("chunk_id"), F.lit(0.0).alias("score")).limit(0)
-    termed = chunked.select(F.col(chunk_id).alias("chunk_id"), (allowed if allowed is not None else F.lit(True)).alias("ok"), terms(text).alias("terms"))
-    hits = termed.select("chunk_id", "ok", F.size("terms").cast("double").alias("dl"), *[_uses(w).alias(f"tf{i}") for i, w in enumerate(wanted)])
+    low = chunked.select(F.col(chunk_id).alias("chunk_id"), (allowed if allowed is not None else F.lit(True)).alias("ok"), F.lower(F.coalesce(text, F.lit(""))).alias("low"))
+    t = F.col("low")
+    size = F.regexp_count(t, F.lit("[a-z0-9]+")).cast("double") - _uses(t, sorted(STOP_WORDS))
+    hits = low.select("chunk_id", "ok", size.alias("dl"), *[_uses(t, [w]).alias(f"tf{i}") for i, w in enumerate(wanted)])
     sums = hits.agg(F.count(F.lit(1)).cast("double").alias("n"), F.greatest(F.avg("dl"), F.lit(1.0)).alias("avgdl"), *[F.sum((F.col(f"tf{i}") > 0).cast("double")).alias(f"df{i}") for i in range(len(wanted))]).first()
-    score, matched = F.lit(0.0), F.lit(0)
-    n, avgdl = sums["n"], sums["avgdl"] or 1.0
-    for i in range(len(wanted)):
-        df, tf = sums[f"df{i}"] or 0.0, F.col(f"tf{i}")
-        idf = F.log(F.lit(1.0) + (F.lit(n) - F.lit(df) + F.lit(0.5)) / (F.lit(df) + F.lit(0.5)))
-        norm = tf + F.lit(K1) * (F.lit(1.0 - B) + F.lit(B) * F.col("dl") / F.lit(avgdl))
-        score = score + F.when(tf > 0, idf * tf * F.lit(K1 + 1.0) / norm).otherwise(F.lit(0.0))
-        matched = matched + (tf > 0).cast("int")
-    found = hits.where(matched >= min(2, len(wanted))).where("ok").select("chunk_id", F.round(score, 6).alias("score"))
-    return found.where(F.col("score") >= minimum).orderBy(F.col("score").desc(), "chunk_id").limit(top_k)
+    score, matched = _score(wanted, [sums[f"df{i}"] or 0.0 for i in range(len(wanted))], sums["n"], sums["avgdl"] or 1.0)
+    return _best(hits, wanted, score, matched, top_k, minimum)
+
+
+def save_index(store, name: str, chunked: DataFrame, chunk_id: str, text: Column) -> None:
+    """Writes postings (sorted by term, so a search reads only its terms' row groups), frequencies and statistics."""
+    postings, df, stats = index(chunked, chunk_id, text)
+    store.write(f"{name}_postings", postings.repartitionByRange("term").sortWithinPartitions("term"))
+    store.write(f"{name}_terms", df)
+    store.write(f"{name}_stats", stats)
+
+
+def search_index(store, name: str, query: str, top_k: int = 10, minimum: float = 0.0) -> DataFrame:
+    """As :func:`search`, from a saved index; chunks without any term of the query are never read."""
+    spark = store.spark
+    wanted = _asked(spark, query)
+    if not wanted:
+        return spark.createDataFrame([], "chunk_id string, score double")
+    stats = store.read(f"{name}_stats").first()
+    df = {r.term: r.df for r in store.read(f"{name}_terms").where(F.col("term").isin(wanted)).collect()}  # one row per term of the query
+    rows = store.read(f"{name}_postings").where(F.col("term").isin(wanted))
+    hits = rows.groupBy("chunk_id").agg(F.lit(True).alias("ok"), F.max("dl").alias("dl"), *[F.coalesce(F.max(F.when(F.col("term") == w, F.col("tf"))), F.lit(0.0)).alias(f"tf{i}") for i, w in enumerate(wanted)])
+    score, matched = _score(wanted, [df.get(w, 0.0) for w in wanted], stats["n"], max(stats["avgdl"] or 1.0, 1.0))
+    return _best(hits, wanted, score, matched, top_k, minimum)

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import CONTRACTS, RULES
-from ..functions.columns import micros
+from ..functions.columns import date_key, micros
 from ..operators import slicing
+from ..operators.facts import inventory_snapshot
+from ..operators.marts import channel_funnel, inventory_health
 from ..operators.merge import merge_current_state, merge_upsert
 from ..operators.quality import flag, load_rules
 from ..operators.standardize import deduplicate_latest, standardize
@@ -91,6 +93,29 @@ class StreamProcessor:
         rows = judged.where("_outcome = 'merged'").withColumn("_at_us", micros(self.contract.event_time))
         self.store.append_once(f"panes_{self.dataset}", slicing.panes(rows, [], "_at_us", DAY_US, {"events": F.lit(1)}), f"{batch_id:09d}")
 
+    def serve(self, batch_id: int) -> DataFrame | None:
+        """Serving table of the stream, recomputed for the days that the batch touched and kept for all others.
+
+        customer_events: sessions per day and device; inventory_events: stock health per day and
+        store, over the latest observation of each product and store.
+        """
+        touched = self.store.read_appended(f"panes_{self.dataset}")
+        silver = self.store.read(f"silver_{self.dataset}")
+        if touched is None or silver is None:
+            return None
+        rows = silver.withColumn("event_date_key", date_key(F.col("event_timestamp")))
+        if self.dataset == "inventory_events":
+            # The latest observation may move between days, so health is formed anew as a whole.
+            snap = inventory_snapshot(rows.withColumns({"product_key": F.col("product_id"), "store_key": F.col("store_id")}))
+            self.store.write(f"serving_{self.dataset}", inventory_health(snap))
+        else:
+            fresh = self.store.spark.read.schema(touched.schema).parquet(f"{self.store.root}/panes_{self.dataset}/token={batch_id:09d}")
+            days = fresh.select(date_key(F.timestamp_micros("pane_us")).alias("event_date_key")).distinct()
+            again = channel_funnel(rows.join(days, "event_date_key", "left_semi"))
+            old = self.store.read(f"serving_{self.dataset}")
+            self.store.write(f"serving_{self.dataset}", again if old is None else old.join(days, "event_date_key", "left_anti").unionByName(again))
+        return self.store.read(f"serving_{self.dataset}")
+
     def daily(self) -> DataFrame | None:
         """Events per day over all batches so far."""
         panes = self.store.read_appended(f"panes_{self.dataset}")
