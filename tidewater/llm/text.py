@@ -15,8 +15,11 @@ TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json"
 
 def spread(df: DataFrame) -> DataFrame:
     """Gives every core work: few large input splits are dealt out, many are left where they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(4 * cores)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    splits = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // split
+    return df if splits >= 2 * cores else df.repartition(4 * cores)
 
 
 def _counter(path: str):
