@@ -63,5 +63,14 @@ def test_as_of_with_a_key_of_a_third_of_all_rows(spark, target):
         spans.sort()
         assert all(a[1] < b[0] or a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
     c = spark.createDataFrame(children, "id bigint, ref string, at bigint")
-    out = O.find_orphans(c, periods, [("ref", "k")], as_of=O.AsOf("at"), target_rows=target)
+    out = O.find_orphans(c, periods, [("ref", "k")], as_of=O.AsOf("at"), cell_rows=target)
     assert sorted(r.id for r in out.collect()) == [i for i, k, t in children if k is not None and not known(versions, k, t)]
+
+
+def test_reasons(spark):
+    versions = spark.createDataFrame([("later", 1, 50, False), ("gone", 1, 1, False), ("gone", 2, 2, True), ("back", 1, 1, True), ("back", 2, 90, False)], "k string, u bigint, g bigint, gone boolean")
+    periods = O.resolved_periods(versions, ["k"], "u", "g", F.col("gone"))
+    child = spark.createDataFrame([(1, "later", 10), (2, "gone", 10), (3, "back", 10), (4, "none", 10), (5, "later", 60)], "id bigint, ref string, at bigint")
+    lost = O.find_orphans(child, periods, [("ref", "k")], as_of=O.AsOf("at"))
+    out = O.orphan_reasons(lost, versions, periods, ("ref", "k"), "at", "g")
+    assert {(r.id, r.reason) for r in out.collect()} == {(1, "ARRIVED_LATER"), (2, "REMOVED"), (3, "ARRIVED_LATER"), (4, "MISSING")}

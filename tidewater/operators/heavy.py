@@ -18,8 +18,8 @@ TARGET_ROWS = 100_000
 #: Keys that are split. A key beyond the list holds less than 1/MAX_KEYS of the rows that the
 #: listed ones hold together, so one task can take it.
 MAX_KEYS = 1_000
-#: An input that the optimizer estimates below this fits one task whatever its keys.
-SMALL_BYTES = 8 << 20
+#: An input that is read from less than this fits one task whatever its keys.
+SMALL_BYTES = 32 << 20
 #: Blocks per key, so summaries stay small.
 MAX_BLOCKS = 1_024
 
@@ -38,10 +38,10 @@ class Heavy:
 def find_heavy(df: DataFrame, keys: list[str], at: str, target_rows: int = TARGET_ROWS) -> Heavy:
     """Keys with more than ``target_rows`` rows. ``at`` is a bigint position (time) column.
 
-    Counts are combined before the shuffle; at most MAX_KEYS rows reach the driver. Inputs below
-    SMALL_BYTES are not counted unless the caller wants smaller blocks than usual.
+    Counts are combined before the shuffle; at most MAX_KEYS rows reach the driver. Inputs read from
+    less than SMALL_BYTES are not counted unless the caller wants smaller blocks than usual.
     """
-    if target_rows >= TARGET_ROWS and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SMALL_BYTES:
+    if target_rows >= TARGET_ROWS and _read_bytes(df) < SMALL_BYTES:
         return Heavy((), ())
     found = (
         df.groupBy(*keys)
@@ -59,6 +59,12 @@ def find_heavy(df: DataFrame, keys: list[str], at: str, target_rows: int = TARGE
     return Heavy(tuple(rows), tuple(types[k] for k in keys))
 
 
+def _read_bytes(df: DataFrame) -> int:
+    """What the optimizer expects to read from the sources of a frame."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def with_block(df: DataFrame, heavy: Heavy, keys: list[str], at: str, out: str = "__blk") -> DataFrame:
     """Adds the block number of heavy keys' rows and NULL for all others."""
     if not heavy:

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from .heavy import TARGET_ROWS, Heavy, find_heavy, neighbour, running_max, with_block
 
+#: Children (and periods) of one key that a time cell of the as-of join should hold at most; the join
+#: compares all of a cell's, so cells are smaller than the blocks of windows.
+CELL_ROWS = 10_000
 SIMPLE, FULL, PARTIAL = "simple", "full", "partial"
 _END = (1 << 63) - 1
 
@@ -57,7 +60,7 @@ def find_orphans(
     refs: list[tuple[str, str]],
     match: str = SIMPLE,
     as_of: AsOf | None = None,
-    target_rows: int = TARGET_ROWS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Child rows whose reference violates the declared match semantics, plus ``null_mask``.
 
@@ -87,14 +90,29 @@ def find_orphans(
             parts.append(rows)
             continue
         filled = [r for r, b in zip(refs, nulls, strict=True) if not b]
-        parts.append(_anti(rows, parent, filled, as_of, target_rows))
+        parts.append(_anti(rows, parent, filled, as_of, cell_rows))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select(*names, "null_mask")
 
 
-def _anti(child: DataFrame, parent: DataFrame, refs: list[tuple[str, str]], as_of: AsOf | None, target_rows: int) -> DataFrame:
+def orphan_reasons(orphans: DataFrame, versions: DataFrame, periods: DataFrame, ref: tuple[str, str], child_at: str, delivered: str) -> DataFrame:
+    """Adds ``reason``: ARRIVED_LATER, REMOVED (known by then, but removed) or MISSING.
+
+    ``versions`` and ``periods`` are the parent's rows and its resolved periods; they meet the
+    orphans as one row per key.
+    """
+    column, key = ref
+    first = versions.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(F.min(delivered).alias("__first"))
+    last = periods.groupBy(F.col(key).alias("__k")).agg(F.max("resolved_from").alias("__last"))
+    known = first.join(last, "__k", "left")
+    out = orphans.join(known, orphans[column] == known["__k"], "left")
+    reason = F.when(F.col("__last") > F.col(child_at), "ARRIVED_LATER").when(F.col("__first") <= F.col(child_at), "REMOVED").otherwise("MISSING")
+    return out.withColumn("reason", reason).drop("__k", "__first", "__last")
+
+
+def _anti(child: DataFrame, parent: DataFrame, refs: list[tuple[str, str]], as_of: AsOf | None, cell_rows: int) -> DataFrame:
     keys = [f"__p{i}" for i in range(len(refs))]
     held = parent.select(*[F.col(p).alias(k) for (_, p), k in zip(refs, keys, strict=True)], *([F.col(as_of.parent_from).alias("__from"), F.col(as_of.parent_to).alias("__to")] if as_of else []))
     for k in keys:
@@ -106,7 +124,7 @@ def _anti(child: DataFrame, parent: DataFrame, refs: list[tuple[str, str]], as_o
     # that key it touches. Periods of a key are disjoint, so this adds one copy per cell at most.
     columns = [c for c, _ in refs]
     both = child.select(*[F.col(c).alias(k) for c, k in zip(columns, keys, strict=True)], F.col(as_of.child_at).alias("__at")).unionByName(held.select(*keys, F.col("__from").alias("__at")))
-    heavy = find_heavy(both, keys, "__at", target_rows)
+    heavy = find_heavy(both, keys, "__at", cell_rows)
     at = child[as_of.child_at]
     if not heavy:
         return child.join(held, [*on, at >= F.col("__from"), at < F.col("__to")], "left_anti")

@@ -39,10 +39,22 @@ def first_deliveries(deliveries: DataFrame, dataset: str, identifier: str, fallb
     return first.select(dataset, "message_key", f"r.{seq}", *[f"r.{c}" for c in keep])
 
 
-def split_late(messages: DataFrame, cutoffs: DataFrame, group: str, batch: str, at: str) -> DataFrame:
-    """Adds ``is_late``: event time before the batch's cutoff. NULL time or batch, or no cutoff, is never late."""
-    joined = messages.join(cutoffs, [group, batch], "left")
-    return joined.withColumn("is_late", F.coalesce(F.col(at) < F.col("cutoff"), F.lit(False)))
+def split_late(messages: DataFrame, cutoffs: DataFrame, group: str, batch: str, at: str, width_us: int = 24 * HOUR_US) -> DataFrame:
+    """Adds ``pane_us`` and ``is_late``: event time before the batch's cutoff.
+
+    Panes that end at or before the cutoff are closed, so their events are late; panes after it are
+    open. Only in the one pane that the cutoff cuts are events compared with it. NULL time or batch,
+    or no cutoff, is never late.
+    """
+    joined = messages.join(cutoffs, [group, batch], "left").withColumn("pane_us", pane_of(F.col(at), width_us))
+    edge = pane_of(F.col("cutoff"), width_us)
+    late = (F.col("pane_us") < edge) | ((F.col("pane_us") == edge) & (F.col(at) < F.col("cutoff")))
+    return joined.withColumn("is_late", F.coalesce(late, F.lit(False)))
+
+
+def pane_of(at: Column, width_us: int) -> Column:
+    """Start of the pane that holds a time."""
+    return (at - F.pmod(at, F.lit(width_us))).cast("bigint")
 
 
 def panes(messages: DataFrame, keys: list[str], at: str, width_us: int, measures: dict[str, Column], revision: str | None = None) -> DataFrame:
@@ -51,7 +63,7 @@ def panes(messages: DataFrame, keys: list[str], at: str, width_us: int, measures
     ``measures`` are row-level columns to be summed; NULL counts as 0. Rows with NULL time fall in
     no pane.
     """
-    pane = (F.floor(F.col(at) / width_us) * width_us).cast("bigint").alias("pane_us")
+    pane = pane_of(F.col(at), width_us).alias("pane_us")
     by = [*keys, pane, *([revision] if revision else [])]
     return messages.where(F.col(at).isNotNull()).groupBy(*by).agg(*[F.sum(F.coalesce(c, F.lit(0))).alias(n) for n, c in measures.items()])
 
@@ -64,7 +76,7 @@ def merge_panes(stored: DataFrame | None, fresh: DataFrame, keys: list[str], mea
 
 def covering_windows(pane_us: Column, size_us: int, slide_us: int) -> Column:
     """Array of the starts of all windows [start, start + size) that hold the pane."""
-    last = (F.floor(pane_us / slide_us) * slide_us).cast("bigint")
+    last = pane_of(pane_us, slide_us)
     return F.transform(F.sequence(F.lit(0), F.lit(-(-size_us // slide_us) - 1)), lambda i: last - i.cast("bigint") * F.lit(slide_us))
 
 

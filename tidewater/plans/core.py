@@ -24,21 +24,24 @@ REFERENCES = (
 )
 
 
-def _resolved(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
+def _versions(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
     t = table(spark, d, name)
     rows = t.select(clean(key).alias("key"), micros("updated_at").alias("u"), micros("_ingested_at").alias("g"), is_removal("cdc_operation").alias("gone"))
-    return orphans.resolved_periods(rows, ["key"], "u", "g", F.col("gone"))
+    return rows.where("u IS NOT NULL AND g IS NOT NULL")
 
 
-def _orphans(spark: SparkSession, d: str) -> DataFrame:
-    parents = {(t, r): _resolved(spark, d, t, r) for _, _, r, t in REFERENCES}
+def _orphans(spark: SparkSession, d: str, reasons: bool = False) -> DataFrame:
+    versions = {(t, r): _versions(spark, d, t, r) for _, _, r, t in REFERENCES}
+    periods = {k: orphans.resolved_periods(v, ["key"], "u", "g", F.col("gone")) for k, v in versions.items()}
     found = []
     for child, key, ref, parent in REFERENCES:
         # One row per child and reference; T is the child's first delivery.
         c = table(spark, d, child).select(clean(key).alias("child_id"), clean(ref).alias("ref"), micros("_ingested_at").alias("at")).where("child_id IS NOT NULL")
         c = c.groupBy("child_id").agg(F.min("at").alias("first_at"), F.max("ref").alias("ref"))
-        lost = orphans.find_orphans(c, parents[parent, ref], [("ref", "key")], orphans.SIMPLE, orphans.AsOf("first_at"))
-        found.append(lost.select(F.lit(child).alias("child_table"), "child_id", F.lit(ref).alias("ref_field"), "ref", "first_at"))
+        lost = orphans.find_orphans(c, periods[parent, ref], [("ref", "key")], orphans.SIMPLE, orphans.AsOf("first_at"))
+        if reasons:
+            lost = orphans.orphan_reasons(lost, versions[parent, ref], periods[parent, ref], ("ref", "key"), "first_at", "g")
+        found.append(lost.select(F.lit(child).alias("child_table"), "child_id", F.lit(ref).alias("ref_field"), "ref", "first_at", *(["reason"] if reasons else [])))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -55,6 +58,12 @@ def p1_orphans_by_month(spark: SparkSession, d: str) -> DataFrame:
     return _orphans(spark, d).groupBy("child_table", "ref_field", month).agg(F.count(F.lit(1)).alias("orphans"), F.count_distinct("ref").alias("lost_keys"))
 
 
+def p1_orphan_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """Orphans per table, field and month by what became of the key: missing, removed, arrived later."""
+    month = F.date_format(F.timestamp_micros("first_at"), "yyyy-MM").alias("period")
+    return _orphans(spark, d, True).groupBy("child_table", "ref_field", month, "reason").agg(F.count(F.lit(1)).alias("orphans"))
+
+
 # ---- 2. history of changing attributes ------------------------------------------------------
 
 DIMENSIONS = {
@@ -265,7 +274,7 @@ def p6_corrected(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_orphans_by_month, p2_found, p2_dim_customer, p2_merged_deliveries, p3_found, p3_orders_with_attributes,
+        p1_found, p1_orphans_by_month, p1_orphan_reasons, p2_found, p2_dim_customer, p2_merged_deliveries, p3_found, p3_orders_with_attributes,
         p4_found, p4_daily_totals, p4_emissions, p4_weekly_windows, p5_found, p5_messages_per_day, p6_found, p6_trailing, p6_corrected,
     )
 }

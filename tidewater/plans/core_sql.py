@@ -17,7 +17,7 @@ def _orphans() -> str:
     parts = []
     for child, key, ref, parent in refs:
         parts.append(f"""
-        SELECT '{child}' AS child_table, c.child_id, '{ref}' AS ref_field, c.ref, c.t FROM (
+        SELECT '{child}' AS child_table, c.child_id, '{ref}' AS ref_field, c.ref, c.t, CASE WHEN later.last_live > c.t THEN 'ARRIVED_LATER' WHEN r.gone THEN 'REMOVED' ELSE 'MISSING' END AS reason FROM (
           SELECT {_c(key)} AS child_id, max({_c(ref)}) AS ref, min(_ingested_at) AS t FROM {child} GROUP BY 1) c
         LEFT JOIN (
           SELECT cc.child_id, arg_max(p.gone, (p.u, p.g, p.gone)) AS gone FROM (
@@ -25,6 +25,10 @@ def _orphans() -> str:
           JOIN (SELECT {_c(ref)} AS k, updated_at AS u, _ingested_at AS g, coalesce({_c("cdc_operation")} = 'DELETE', false) AS gone
                 FROM {parent} WHERE updated_at IS NOT NULL) p ON p.k = cc.ref AND p.g <= cc.t
           GROUP BY 1) r USING (child_id)
+        LEFT JOIN (SELECT k, max(g) FILTER (WHERE NOT gone) AS last_live FROM (
+          SELECT {_c(ref)} AS k, _ingested_at AS g, arg_max(coalesce({_c("cdc_operation")} = 'DELETE', false), (updated_at, _ingested_at, coalesce({_c("cdc_operation")} = 'DELETE', false)))
+            OVER (PARTITION BY {_c(ref)} ORDER BY _ingested_at RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gone
+          FROM {parent} WHERE updated_at IS NOT NULL) GROUP BY 1) later ON later.k = c.ref
         WHERE c.child_id IS NOT NULL AND c.ref IS NOT NULL AND coalesce(r.gone, true)""")
     return " UNION ALL ".join(parts)
 
@@ -106,6 +110,7 @@ _ARGS = (("customer_events", "event_id"), ("inventory_events", "inventory_event_
 SQL = {
     "p1_found": f"SELECT child_table, child_id, ref_field FROM ({_orphans()})",
     "p1_orphans_by_month": f"SELECT child_table, ref_field, strftime(t, '%Y-%m') AS period, count(*) AS orphans, count(DISTINCT ref) AS lost_keys FROM ({_orphans()}) GROUP BY 1, 2, 3",
+    "p1_orphan_reasons": f"SELECT child_table, ref_field, strftime(t, '%Y-%m') AS period, reason, count(*) AS orphans FROM ({_orphans()}) GROUP BY 1, 2, 3, 4",
     "p2_found": " UNION ALL ".join(
         f"SELECT '{n}' AS dim_name, business_key, valid_from_us, valid_to_us FROM ({_versions(t, k, c)})"
         for n, t, k, c in (("dim_customer", "customers", "customer_id", _CUSTOMER), ("dim_product", "products", "product_id", _PRODUCT), ("dim_store", "stores", "store_id", _STORE))

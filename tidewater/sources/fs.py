@@ -74,9 +74,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Scratch paths of this process, for clear_scratch.
+_MADE: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes the written intermediate tables of this process once their results are stored elsewhere."""
+    files, n = Files(spark), len(_MADE)
+    while _MADE:
+        files.delete(_MADE.pop())
+    return n
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; nothing exists there yet."""
-    return f"{shared_dir(spark)}/tidewater/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tidewater/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
 
 
 def written(df, name: str):
