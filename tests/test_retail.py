@@ -203,3 +203,20 @@ def test_snapshot_store(spark, tmp_path):
         s.append_once("log", spark.range(3), "b1")
     s.append_once("log", spark.range(2), "b2")
     assert s.read_appended("log").count() == 5
+
+
+def test_configurations_and_writers(spark, tmp_path):
+    from decimal import Decimal
+
+    config = {"rules": [{"rule_id": "R1", "dataset": "orders", "kind": "reference_exists", "severity": "ERROR", "passes": "_reference_exists", "reference": {"table": "customers", "keys": [["customer_id", "customer_id"]]}}]}
+    (tmp_path / "r.json").write_text(json.dumps(config))
+    (rule,) = quality.rules_from(files.load_config(tmp_path / "r.json"))
+    assert rule.reference == ("customers", (("customer_id", "customer_id"),), None)
+    (tmp_path / "l.json").write_text("[]")
+    with pytest.raises(files.SourceError):
+        files.load_config(tmp_path / "l.json")
+    rows = [{"x": "1", "m": Decimal("2.5"), "t": datetime(2025, 1, 1, 2), "d": date(2025, 1, 1)}]
+    text = files.write_rows(rows, tmp_path / "w.csv").read_text()
+    assert text == "x,m,t,d\n1,2.50,2025-01-01 02:00:00,2025-01-01\n"
+    assert files.write_rows(rows, tmp_path / "w.jsonl").read_text() == '{"d": "2025-01-01", "m": "2.50", "t": "2025-01-01 02:00:00", "x": "1"}\n'
+    assert files.scan(spark, str(tmp_path / "w.csv"), ["x", "m"]).first().m == "2.50"

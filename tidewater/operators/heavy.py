@@ -18,7 +18,8 @@ TARGET_ROWS = 100_000
 #: Keys that are split. A key beyond the list holds less than 1/MAX_KEYS of the rows that the
 #: listed ones hold together, so one task can take it.
 MAX_KEYS = 1_000
-#: An input that is read from less than this fits one task whatever its keys.
+#: An input that is read from less than this fits one task whatever its keys, if blocks may have
+#: TARGET_ROWS rows; where the caller wants smaller ones the bound is as much smaller.
 SMALL_BYTES = 32 << 20
 #: Blocks per key, so summaries stay small.
 MAX_BLOCKS = 1_024
@@ -38,10 +39,10 @@ class Heavy:
 def find_heavy(df: DataFrame, keys: list[str], at: str, target_rows: int = TARGET_ROWS) -> Heavy:
     """Keys with more than ``target_rows`` rows. ``at`` is a bigint position (time) column.
 
-    Counts are combined before the shuffle; at most MAX_KEYS rows reach the driver. Inputs read from
-    less than SMALL_BYTES are not counted unless the caller wants smaller blocks than usual.
+    Counts are combined before the shuffle; at most MAX_KEYS rows reach the driver. Small inputs (see
+    SMALL_BYTES) are not counted.
     """
-    if target_rows >= TARGET_ROWS and _read_bytes(df) < SMALL_BYTES:
+    if _read_bytes(df) < SMALL_BYTES * target_rows / TARGET_ROWS:
         return Heavy((), ())
     found = (
         df.groupBy(*keys)

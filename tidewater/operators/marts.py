@@ -100,15 +100,13 @@ def reconcile(checks: list[tuple[str, DataFrame, DataFrame, str | None, str | No
 
     Rows pass if no more are published than there were, amounts if they agree to the cent.
     """
-    out = None
+    sides = None
     for name, source, published, a, b in checks:
-        amount = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast(MONEY) if c else F.lit(None).cast(MONEY)
-        s = source.agg(F.count(F.lit(1)).alias("source_rows"), amount(a).alias("source_amount"))
-        p = published.agg(F.count(F.lit(1)).alias("published_rows"), amount(b).alias("published_amount"))
-        good = (F.col("published_rows") <= F.col("source_rows")) & F.col("source_amount").eqNullSafe(F.col("published_amount"))
-        # Two frames of one row each, joined on a constant key.
-        row = s.withColumn("k", F.lit(1)).join(p.withColumn("k", F.lit(1)), "k").select(
-            F.lit(name).alias("check_name"), "source_rows", "published_rows", F.greatest(F.col("source_rows") - F.col("published_rows"), F.lit(0)).alias("excluded_rows"), "source_amount", "published_amount", F.when(good, "PASS").otherwise("FAIL").alias("status")
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+        for side, rows, amount in (("source", source, a), ("published", published, b)):
+            total = F.coalesce(F.sum(amount), F.lit(0)).cast(MONEY) if amount else F.lit(None).cast(MONEY)
+            one = rows.agg(F.count(F.lit(1)).alias("n"), total.alias("m")).select(F.lit(name).alias("check_name"), F.lit(side).alias("side"), "n", "m")
+            sides = one if sides is None else sides.unionByName(one)
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    both = sides.groupBy("check_name").agg(of("source", "n").alias("source_rows"), of("published", "n").alias("published_rows"), of("source", "m").alias("source_amount"), of("published", "m").alias("published_amount"))
+    good = (F.col("published_rows") <= F.col("source_rows")) & F.col("source_amount").eqNullSafe(F.col("published_amount"))
+    return both.select("check_name", "source_rows", "published_rows", F.greatest(F.col("source_rows") - F.col("published_rows"), F.lit(0)).alias("excluded_rows"), "source_amount", "published_amount", F.when(good, "PASS").otherwise("FAIL").alias("status"))

@@ -49,6 +49,18 @@ def load_rules(rows: Iterable[tuple], dataset: str | None = None) -> list[Rule]:
     return [r for r in rules if r.active and dataset in (None, r.dataset)]
 
 
+def rules_from(config: Mapping) -> list[Rule]:
+    """Rules of a configuration: a list under 'rules' with the fields of Rule; a reference is a mapping
+    of table, keys (pairs of own and referenced column) and, for comparisons, value."""
+    out = []
+    for r in config["rules"]:
+        r = dict(r)
+        if ref := r.pop("reference", None):
+            r["reference"] = (ref["table"], tuple(tuple(k) for k in ref["keys"]), ref.get("value"))
+        out.append(Rule(**r))
+    return load_rules(out)
+
+
 def with_references(rows: DataFrame, rules: list[Rule], tables: Mapping[str, DataFrame]) -> tuple[DataFrame, list[Rule]]:
     """Joins what reference rules look up and rewrites them to plain flag rules.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -204,10 +206,16 @@ def _kept(spark: SparkSession, d: str, name: str) -> DataFrame:
     return rows.limit(0).withColumn("message_key", key) if kept is None else kept
 
 
+def _all_kept(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The streams have stores of their own, so their deliveries run side by side."""
+    with ThreadPoolExecutor(len(STREAMS)) as pool:
+        return dict(zip(STREAMS, pool.map(lambda name: _kept(spark, d, name), STREAMS), strict=True))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     parts = []
-    for name in STREAMS:
-        kept = _kept(spark, d, name).select(F.col("delivery_seq").alias("kept_seq"))
+    for name, store in _all_kept(spark, d).items():
+        kept = store.select(F.col("delivery_seq").alias("kept_seq"))
         rows = table(spark, d, name)
         again = rows.join(kept, rows["delivery_seq"] == kept["kept_seq"], "left_anti")
         parts.append(again.select(F.lit(name).alias("dataset_name"), "delivery_seq"))
@@ -217,7 +225,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_messages_per_day(spark: SparkSession, d: str) -> DataFrame:
     """Kept messages and their event days, per stream."""
     day = F.coalesce(F.date_format("event_timestamp", "yyyy-MM-dd"), F.lit("none")).alias("event_day")
-    parts = [_kept(spark, d, n).groupBy(F.lit(n).alias("dataset_name"), day).agg(F.count(F.lit(1)).alias("messages")) for n in STREAMS]
+    parts = [kept.groupBy(F.lit(n).alias("dataset_name"), day).agg(F.count(F.lit(1)).alias("messages")) for n, kept in _all_kept(spark, d).items()]
     return parts[0].unionByName(parts[1])
 
 

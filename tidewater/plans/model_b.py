@@ -143,14 +143,14 @@ def b_kpi_summary(spark, d):
 def b_arrival(spark, d):
     """Expected against actual rows of the layers; a fact may hold no other number than its source."""
     o, i, e = role(spark, d, "orders"), role(spark, d, "lines"), role(spark, d, "events")
-    out = None
+    sides = None
     for layer, name, source, actual in (("bronze", "orders", o, o), ("bronze", "order_items", i, i), ("bronze", "customer_events", e, e), ("silver", "orders", o, o), ("silver", "order_items", i, i), ("gold", "fact_sales", o, o.dropDuplicates(["order_id"])), ("gold", "fact_order_items", i, i.join(o.select("order_id"), "order_id"))):
-        a = source.agg(F.count(F.lit(1)).alias("expected_rows")).withColumn("k", F.lit(1))
-        b = actual.agg(F.count(F.lit(1)).alias("actual_rows")).withColumn("k", F.lit(1))
-        status = F.when(F.col("actual_rows") == F.col("expected_rows"), "ARRIVED").otherwise("MISMATCH")
-        row = a.join(b, "k").select(F.lit(layer).alias("layer"), F.lit(name).alias("object_name"), "expected_rows", "actual_rows", status.alias("arrival_status"))
-        out = row if out is None else out.unionByName(row)
-    return out
+        for side, rows in (("expected", source), ("actual", actual)):
+            one = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(layer).alias("layer"), F.lit(name).alias("object_name"), F.lit(side).alias("side"), "n")
+            sides = one if sides is None else sides.unionByName(one)
+    of = lambda side: F.max(F.when(F.col("side") == side, F.col("n")))
+    both = sides.groupBy("layer", "object_name").agg(of("expected").alias("expected_rows"), of("actual").alias("actual_rows"))
+    return both.withColumn("arrival_status", F.when(F.col("actual_rows") == F.col("expected_rows"), "ARRIVED").otherwise("MISMATCH"))
 
 
 def _approved(name: str, tables: dict):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import hashlib
 import json
 import os
 import shutil
 from collections.abc import Iterable
+from datetime import date, datetime
+from decimal import Decimal
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,6 +91,39 @@ def stage(path: str | Path, landing: str | Path, source: str) -> dict:
     return manifest | {"status": "STAGED"}
 
 
+def load_config(path: str | Path) -> dict:
+    """A JSON or (where PyYAML is installed) YAML file with a top-level mapping."""
+    text = Path(path).read_text()
+    if Path(path).suffix.lower() == ".json":
+        value = json.loads(text)
+    else:
+        try:
+            import yaml
+        except ImportError as error:
+            raise SourceError("YAML needs PyYAML") from error
+        value = yaml.safe_load(text)
+    if not isinstance(value, dict):
+        raise SourceError(f"{path} holds no mapping")
+    return value
+
+
+def write_rows(rows: Iterable[dict], path: str | Path) -> Path:
+    """Writes CSV or JSON lines, the same bytes for the same rows: two-digit money, ISO times, sorted JSON keys."""
+
+    def plain(v: object) -> object:
+        return f"{v:.2f}" if isinstance(v, Decimal) else v.isoformat(sep=" ") if isinstance(v, datetime) else v.isoformat() if isinstance(v, date) else v
+
+    path, rows = Path(path), [{k: plain(v) for k, v in r.items()} for r in rows]
+    with open(path, "w", newline="") as f:
+        if path.suffix.lower() == ".csv":
+            out = csv.DictWriter(f, list(rows[0]) if rows else [], lineterminator="\n")
+            out.writeheader()
+            out.writerows(rows)
+        else:
+            f.writelines(json.dumps(r, sort_keys=True) + "\n" for r in rows)
+    return path
+
+
 def emit_microbatches(rows: Iterable[dict | str], folder: str | Path, size: int = 100) -> list[Path]:
     """Writes JSON lines as microbatch-NNNNN.json, each whole or not at all; same content again is fine."""
     folder = Path(folder)

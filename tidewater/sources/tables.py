@@ -10,3 +10,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Gives every core work on rows that are costly to process: few splits are dealt out, many stay."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    splits = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // split
+    return df if splits >= 2 * cores else df.repartition(4 * cores)
