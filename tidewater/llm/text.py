@@ -1,4 +1,4 @@
-"""Token counts by a public tokenizer, and the placement of Python work on texts."""
+"""Token counts by a public tokenizer."""
 
 from __future__ import annotations
 
@@ -9,19 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
+
 #: Vocabulary file that counts tokens unless the caller names another; it must be readable on executors.
 TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Gives every core work: few large input splits are dealt out, many are left where they are."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
-    splits = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // split
-    return df if splits >= 2 * cores else df.repartition(4 * cores)
-
-
 def _counter(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
