@@ -135,6 +135,8 @@ CASES = [
     ("Ship the replacement to 12B Whistler Rd, Apt 4B, 49238 Eastvale.", [("ADDRESS", "12B Whistler Rd, Apt 4B")]),
     ("Lieferung bitte an Mühlstr. 19a. Livrer au 34, quai du Lavoir.", [("ADDRESS", "Mühlstr. 19a"), ("ADDRESS", "34, quai du Lavoir")]),
     ("Enviar a Avenida del Trigo, 76, 2.º izq..", [("ADDRESS", "Avenida del Trigo, 76, 2.º izq.")]),
+    ("Frau Lundsen wohnt jetzt Hinterm Speicher 114. Livrer au 9 rue du vieux moulin.", [("NAME", "Lundsen"), ("ADDRESS", "Hinterm Speicher 114"), ("ADDRESS", "9 rue du vieux moulin")]),
+    ("Ship it to 48333 Lindau am Wehr 18 of 9 labels", []),
     ("Main Street traffic slowed every delivery.", []),
     ("Pick up by Björn Pellert's neighbour was refused.", [("NAME", "Björn Pellert")]),
     ("Contact: L. Ulmard and Mark T. Ildrimore; Mme Gramandt.", [("NAME", "L. Ulmard"), ("NAME", "Mark T. Ildrimore"), ("NAME", "Gramandt")]),

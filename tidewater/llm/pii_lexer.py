@@ -43,9 +43,9 @@ _FR_KIND = r"(?:rue|quai|avenue|boulevard|chemin|impasse|all[ée]e|place|passage
 _ES_KIND = r"(?:(?:Calle|Avenida|Plaza|Paseo|Camino|Ronda|Carrera)(?!\w)|C/|Avda\.|Av\.|Pza\.|P\.º)"
 _CAP = r"[A-ZÀ-Ýa-zß-ÿ][\w'’\-]*"
 ADDRESSES = (
-    rf"\d{{1,4}}(?: ?(?:bis|ter|quater))?,? {_FR_KIND} ?(?:(?:de la |de l['’]|du |des |de |d['’]|le |la |les |l['’]|aux |au |à la ))?(?-i:[A-ZÀ-Ý])?{_CAP}(?: (?-i:[A-ZÀ-Ý])[\w'’\-]*){{0,3}}"
+    rf"\d{{1,4}}(?: ?(?:bis|ter|quater))?,? {_FR_KIND} ?(?:(?:de la |de l['’]|du |des |de |d['’]|le |la |les |l['’]|aux |au |à la ))?(?:(?:vieux|vieil|vieille|petite?s?|grande?s?|haute?s?|basse?s?|belle|sainte?) )?(?-i:[A-ZÀ-Ý])?{_CAP}(?: (?-i:[A-ZÀ-Ý])[\w'’\-]*){{0,3}}"
     r"(?:,? (?:appt\.?|appartement|app\.|bât\.?|bâtiment|esc\.?|étage) ?[\dA-Z]+(?!\w)|,? \d+(?:er|e|ème) étage)?",
-    rf"(?:[^\W\d_]+{_DE_KIND}|(?<!\w )(?:Am|An der|Im|Zum|Zur|Auf dem|Hinterm|Unter den|In der) (?:{_CAP} )?{_CAP}) \d{{1,4}}(?: ?[a-h](?!\w))?(?: ?/ ?\d{{1,3}}(?!\d))?"
+    rf"(?:[^\W\d_]+{_DE_KIND}|(?:(?-i:Am|An der|Zum|Zur|Auf dem|Unter den)|Hinterm) (?:{_CAP} )?{_CAP}) \d{{1,4}}(?: ?[a-h](?!\w))?(?: ?/ ?\d{{1,3}}(?!\d))?"
     r"(?:,? (?:Hinterhaus|\d\. ?(?:OG|Stock|Etage)|EG|Whg\.? ?\d+|Wohnung \d+)(?!\w))?",
     rf"{_ES_KIND} ?(?:(?:de la|de las|de los|del|de el|de) )?{_CAP}(?: (?:de la |de los |del |de )?{_CAP}){{0,2}},? ?(?:n\.?º ?|núm\. ?|nº ?)?\d{{1,4}}(?!\d|\.?[ºª])"
     r"(?:,? (?:\d{1,2}\.?[ºª] ?(?:izq\.|dcha\.|izquierda|derecha|ctro\.|[A-H](?!\w))?|bajo(?!\w)|ático|entlo\.|pral\.|esc\. ?\w+|piso \d+|puerta \w+))?",
