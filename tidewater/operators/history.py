@@ -72,7 +72,7 @@ def merge_history(stored: DataFrame | None, dimension: DataFrame | None, incomin
     if stored is None or dimension is None:
         return incoming, versions(incoming, target_rows)
     touched = incoming.select("business_key").distinct()
-    all_rows = latest_observation(stored.unionByName(incoming))
-    changed = versions(all_rows.join(touched, "business_key", "left_semi"), target_rows)
+    own = latest_observation(stored.join(touched, "business_key", "left_semi").select(*stored.columns).unionByName(incoming))
+    rest = stored.join(touched, "business_key", "left_anti").select(*own.columns)
     kept = dimension.join(touched, "business_key", "left_anti")
-    return all_rows, kept.unionByName(changed)
+    return rest.unionByName(own), kept.unionByName(versions(own, target_rows))
