@@ -8,6 +8,7 @@ from tidewater.contracts import CONTRACTS, NOT_APPLICABLE, RULES, UNKNOWN
 from tidewater.operators import facts, marts, merge, quality, retrieval, scd
 from tidewater.operators.standardize import deduplicate_latest, standardize
 from tidewater.plans import guarded_sql as G  # noqa: N812
+from tidewater.plans import reference
 from tidewater.sources import files
 from tidewater.sources.store import SnapshotStore
 
@@ -146,6 +147,27 @@ def test_chunks_terms_and_search(spark):
     assert [r.x for r in corpus.limit(1).select(retrieval.redact(F.lit("mail a.b@c.de or +1 (555) 010-9999 x")).alias("x")).collect()] == ["mail [REDACTED_EMAIL] or [REDACTED_PHONE] x"]
 
 
+def test_search_of_many_queries_finds_what_each_finds_alone(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("text IS NOT NULL").select("doc_id", "text")
+    questions = [(20, "zip"), (40, "the of"), (60, "lak order order refund"), (80, "xyzzy unheard"), (100, "refund xyzzy shelf label")]
+    index = retrieval.index(docs, "doc_id", F.col("text"))
+    asked = spark.createDataFrame(questions, "query_id bigint, text string").select("query_id", F.explode(F.array_distinct(retrieval.terms(F.col("text")))).alias("term"))
+    got = {}
+    for r in retrieval.search_all(*index, asked, top_k=7, cell=(30, 3)).collect():
+        got.setdefault(r.query_id, []).append((r.score, -r.chunk_id))
+    for i, question in questions:
+        alone = retrieval.search(docs, "doc_id", F.col("text"), question, top_k=7).collect()
+        assert sorted(got.get(i, []), reverse=True) == [(x.score, -x.chunk_id) for x in alone]
+
+
+def test_every_twentieth_document_is_a_query(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    own = {r.doc_id for r in docs.where(F.size(retrieval.terms(F.col("text"))) > 0).where("doc_id % 20 = 0").collect()}
+    rows = reference.bm25_search_rows(spark, folder).collect()
+    assert own and {r.query_id for r in rows} == own
+    assert max(sum(r.query_id == q for r in rows) for q in own) == 50
+
+
 @pytest.mark.parametrize("sql", ["SELECT 1; SELECT 2", "SELECT a FROM t -- x\n LIMIT 1", "DELETE FROM t", "SELECT a FROM t UNION SELECT a FROM t LIMIT 1", "SELECT a FROM u LIMIT 1", "SELECT a FROM t, u LIMIT 1", "SELECT a FROM `u` LIMIT 1", "SELECT a FROM t", "SELECT a FROM t LIMIT 1000", "SELECT 1 LIMIT 1", "WITH x AS (SELECT * FROM u) SELECT * FROM x LIMIT 2"])
 def test_guard_refuses(sql):
     with pytest.raises(G.UnsafeSql):

@@ -13,6 +13,7 @@ from ..operators import facts, marts, retrieval, scd
 from ..operators.merge import merge_current_state, merge_upsert, sync_snapshot
 from ..operators.quality import Rule, flag, load_rules, metrics, split, with_references
 from ..operators.standardize import deduplicate_latest, standardize
+from ..sources.fs import written
 from ..sources.tables import spread, table
 from ..streaming.processor import late_split, replay_split
 from . import model_b
@@ -428,6 +429,16 @@ def bm25_search(spark, d):
     return retrieval.search(docs, "doc_id", F.col("text"), QUESTION, top_k=50).withColumnRenamed("chunk_id", "doc_id")
 
 
+def bm25_search_rows(spark, d):
+    """Every document whose id is divisible by 20 is a query against all documents, itself included."""
+    docs = _texts(spark, d).where("text IS NOT NULL")
+    postings, _, stats = retrieval.index(docs, "doc_id", F.col("text"))
+    postings = written(postings, "bm25-postings")
+    asked = postings.where("chunk_id % 20 = 0").select(F.col("chunk_id").alias("query_id"), "term")
+    found = retrieval.search_all(postings, retrieval.frequencies(postings), stats, asked, top_k=50)
+    return found.withColumnRenamed("chunk_id", "doc_id")
+
+
 def bm25_index(spark, d):
     _, df, _ = retrieval.index(_texts(spark, d).where("text IS NOT NULL"), "doc_id", F.col("text"))
     return df
@@ -451,6 +462,6 @@ QUERIES = {
         order_item_base, promotion_attribution, fact_sales, fact_order_items, fact_payments, fact_returns, fact_inventory_movements, inventory_snapshot, fact_shipments, fact_customer_events,
         daily_store_sales, daily_product_sales, channel_funnel, inventory_health, supplier_performance, promotion_performance, calendar_bounds, reconciliation, kpi_catalog,
         merge_current_state_query, merge_upsert_query, sync_snapshot_query, late_event_split, replay_split_query, stream_reconciliation,
-        star_sales, topk_products, star_inventory, star_funnel, star_promotion, star_supplier, doc_chunks, tokenize_terms, bm25_search, bm25_index, redact_email, injection_scan,
+        star_sales, topk_products, star_inventory, star_funnel, star_promotion, star_supplier, doc_chunks, tokenize_terms, bm25_search, bm25_search_rows, bm25_index, redact_email, injection_scan,
     )
 } | model_b.QUERIES
