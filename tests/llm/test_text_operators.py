@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, packing, pii
+from tidewater.llm import mixing, packing, pii, queries
 from tidewater.llm.pii_field import Field, Graph, Words
 from tidewater.llm.text import TOKENIZER, token_counts
 
@@ -119,6 +119,19 @@ def test_shares_and_repeats(spark):
     del rows
 
 
+def test_queries_make_up_for_scarce_sources(spark, folder):
+    rows = queries.p8_mix_documents(spark, folder).collect()
+    report = queries.p8_mix_shares(spark, folder).collect()
+    there = queries._sized(spark, folder).agg(F.sum("n_tokens")).first()[0]
+    for mix in {r.mix_name for r in report}:
+        usable = sum(r.usable_tokens for r in report if r.mix_name == mix)
+        took = sum(r.n_tokens * r.copies for r in rows if r.mix_name == mix)
+        assert took == sum(r.tokens for r in report if r.mix_name == mix)
+        assert 0.8 * min(there, usable) < took <= usable
+    short = [r for r in report if r.tokens == r.usable_tokens > 0]
+    assert short and any(r.actual_share > r.target_share + 0.01 for r in report)
+
+
 # ---- personal information ----------------------------------------------------------------------
 
 CASES = [

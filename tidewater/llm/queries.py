@@ -32,25 +32,37 @@ def _sized(spark: SparkSession, d: str) -> DataFrame:
     return written(token_counts(docs, ["doc_id", "source", "lang"], "text"), "p8-tokens")
 
 
-def p8_mix_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Documents of each mix with the number of times each is used; every source keeps its exact share."""
+def _mixed(spark: SparkSession, d: str, exact: bool = False) -> tuple[DataFrame, mixing.Plan]:
+    """Documents and plan of mixes of as many tokens as all documents have, or as large as exact shares allow."""
     sized = _sized(spark, d)
-    return mixing.select(sized, mixing.plan(sized, table(spark, d, "mix_targets")))
+    total = None if exact else sized.agg(F.sum("n_tokens")).first()[0] or 0
+    the_plan = mixing.plan(sized, table(spark, d, "mix_targets"), total)
+    return mixing.select(sized, the_plan), the_plan
+
+
+def p8_mix_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of each mix with the number of times each is used; shortages go to siblings, then further."""
+    return _mixed(spark, d)[0]
+
+
+def p8_mix_documents_exact(spark: SparkSession, d: str) -> DataFrame:
+    """As p8_mix_documents, but every source keeps its exact share, so the scarcest one limits the mix."""
+    return _mixed(spark, d, exact=True)[0]
 
 
 def p8_mix_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual shares of the mixes of p8_mix_documents."""
+    return mixing.shares(*_mixed(spark, d))
+
+
+def p8_mix_shares_exact(spark: SparkSession, d: str) -> DataFrame:
     """Target and actual shares of each mix, as large as exact shares allow."""
-    sized = _sized(spark, d)
-    the_plan = mixing.plan(sized, table(spark, d, "mix_targets"))
-    return mixing.shares(mixing.select(sized, the_plan), the_plan)
+    return mixing.shares(*_mixed(spark, d, exact=True))
 
 
 def p8_mix_shares_full(spark: SparkSession, d: str) -> DataFrame:
-    """Shares of mixes of as many tokens as all documents have; shortages go to siblings, then further."""
-    sized = _sized(spark, d)
-    total = sized.agg(F.sum("n_tokens")).first()[0] or 0
-    the_plan = mixing.plan(sized, table(spark, d, "mix_targets"), total)
-    return mixing.shares(mixing.select(sized, the_plan), the_plan)
+    """The same as p8_mix_shares, under its earlier name."""
+    return p8_mix_shares(spark, d)
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -62,4 +74,4 @@ def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact_pii(table(spark, d, "documents"), ["doc_id"], "text")
 
 
-QUERIES = {f.__name__: f for f in (p7_packed, p7_fill, p8_mix_documents, p8_mix_shares, p8_mix_shares_full, p9_found, p9_redacted)}
+QUERIES = {f.__name__: f for f in (p7_packed, p7_fill, p8_mix_documents, p8_mix_documents_exact, p8_mix_shares, p8_mix_shares_exact, p8_mix_shares_full, p9_found, p9_redacted)}
