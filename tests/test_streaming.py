@@ -49,6 +49,31 @@ def test_every_row_has_one_outcome_and_a_second_run_changes_nothing(spark, tmp_p
     assert sorted((r.pane_us, r.events) for r in processor.daily().collect())[0][1] >= 1
 
 
+def test_a_message_counts_once_on_the_day_of_its_current_version(spark, tmp_path):
+    schema = ", ".join(f"`{n}` string" for n, _ in CONTRACTS["customer_events"].columns)
+    at = lambda i, when, came: event(i, when) | {"ingestion_timestamp": came, "device_type": "MOBILE"}
+    batches = [
+        [at("a", "2025-01-10 12:00:00", "2025-01-10 12:01:00"), at("b", "2025-01-10 13:00:00", "2025-01-10 13:01:00"), at("c", "2025-01-10 14:00:00", "2025-01-10 14:01:00"), at(None, "2025-01-10 15:00:00", "2025-01-10 15:01:00")],
+        # delivered again; moved to the next day; stale
+        [at("a", "2025-01-10 12:00:00", "2025-01-10 18:00:00"), at("b", "2025-01-11 01:00:00", "2025-01-11 01:01:00"), at("c", "2025-01-10 11:00:00", "2025-01-10 18:00:00")],
+        [at("a", "2025-01-11 02:00:00", "2025-01-11 02:01:00"), at("c", "2025-01-11 03:00:00", "2025-01-11 03:01:00")],
+    ]
+    store = SnapshotStore(spark, f"file://{tmp_path}/store")
+    processor = StreamProcessor(store, "customer_events", 48)
+    seen = []
+    for n, b in enumerate(batches):
+        names = [x for x, _ in CONTRACTS["customer_events"].columns]
+        processor(spark.createDataFrame([tuple(r.get(x) for x in names) for r in b], schema), n)
+        served = {r.event_date_key for r in processor.serve(n).collect()}
+        daily = {r.pane_us // 86_400_000_000 - 20_088: r.events for r in processor.daily().collect()}
+        silver = {}
+        for r in store.read("silver_customer_events").collect():
+            silver[r.event_timestamp.day] = silver.get(r.event_timestamp.day, 0) + 1
+        assert daily == silver and len(served) == len(silver)
+        seen.append(daily)
+    assert seen == [{10: 3}, {10: 2, 11: 1}, {11: 3}]
+
+
 def test_settings_are_checked(tmp_path):
     for bad in (dict(dataset="orders"), dict(lateness_hours=-1), dict(max_files=0), dict(processing_seconds=0)):
         with pytest.raises(ValueError):

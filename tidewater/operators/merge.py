@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,17 @@ def _emit(joined: DataFrame, columns: list[str], keep) -> DataFrame:
     return joined.withColumn("__k", keep).where("__k IS NOT NULL").select(*[F.when(F.col("__k") == "t", F.col(f"t.`{c}`")).otherwise(F.col(f"s.`{c}`")).alias(c) for c in columns])
 
 
+def _newer(at: str, version_hash: str) -> Column:
+    newer = F.col(f"t.`{at}`").isNull() | (F.col(f"s.`{at}`") > F.col(f"t.`{at}`")) | (F.col(f"s.`{at}`").eqNullSafe(F.col(f"t.`{at}`")) & ~F.col(f"s.`{version_hash}`").eqNullSafe(F.col(f"t.`{version_hash}`")))
+    return F.coalesce(newer, F.lit(False))
+
+
+def replacements(target: DataFrame, source: DataFrame, keys: list[str], at: str, version_hash: str) -> DataFrame:
+    """(old_at, new_at) of the source rows that :func:`merge_current_state` takes as upserts; old_at is NULL for unknown keys."""
+    taken = _both(target, source, keys).where(F.col("s").isNotNull() & (F.col("t").isNull() | _newer(at, version_hash)))
+    return taken.select(F.col(f"t.`{at}`").alias("old_at"), F.col(f"s.`{at}`").alias("new_at"))
+
+
 def merge_current_state(target: DataFrame | None, source: DataFrame, keys: list[str], at: str, version_hash: str, operation: str | None = None, check: bool = True) -> DataFrame:
     """Current state after a change feed: newer rows update, removals delete, unknown keys are inserted.
 
@@ -41,8 +52,7 @@ def merge_current_state(target: DataFrame | None, source: DataFrame, keys: list[
     op = F.upper(F.coalesce(F.col(f"s.`{operation}`"), F.lit("UPSERT"))) if operation else F.lit("UPSERT")
     if target is None:
         return source.where(F.upper(F.coalesce(operation, F.lit("UPSERT"))) != "DELETE") if operation else source
-    newer = F.col(f"t.`{at}`").isNull() | (F.col(f"s.`{at}`") > F.col(f"t.`{at}`")) | (F.col(f"s.`{at}`").eqNullSafe(F.col(f"t.`{at}`")) & ~F.col(f"s.`{version_hash}`").eqNullSafe(F.col(f"t.`{version_hash}`")))
-    newer = F.coalesce(newer, F.lit(False))
+    newer = _newer(at, version_hash)
     here, there = F.col("s").isNotNull(), F.col("t").isNotNull()
     keep = (
         F.when(there & ~here, "t")

@@ -10,7 +10,7 @@ from ..functions.columns import date_key, micros
 from ..operators import slicing
 from ..operators.facts import inventory_snapshot
 from ..operators.marts import channel_funnel, inventory_health
-from ..operators.merge import merge_current_state, merge_upsert
+from ..operators.merge import merge_current_state, merge_upsert, replacements
 from ..operators.quality import flag, load_rules
 from ..operators.standardize import deduplicate_latest, standardize
 from ..sources.store import SnapshotStore
@@ -72,9 +72,9 @@ class StreamProcessor:
         reason = F.when(F.col("_outcome") == "late", "STREAM_LATE_EVENT").otherwise(F.coalesce(F.nullif(F.array_join("_failed_rule_ids", ","), F.lit("")), F.lit("NULL_EVENT_TIME")))
         self.store.append_once(f"quarantine_{name}", out.withColumn("_reason", reason), token)
         merged = judged.where("_outcome = 'merged'").drop(*extra)
+        self._panes(stored, merged, batch_id)
         silver = merge_current_state(stored, merged, keys, at, "_silver_record_hash", check=False)
         self.store.write(f"silver_{name}", silver)
-        self._panes(judged, batch_id)
         counts = {r["_outcome"]: r["n"] for r in judged.groupBy("_outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
         read, seen = batch.count(), batch.select(F.max(micros(F.col(at).try_cast("timestamp"))).alias("m")).first()["m"]
         tops = [x for x in (before["watermark_us"] if before is not None else None, seen) if x is not None]
@@ -88,10 +88,17 @@ class StreamProcessor:
         self.store.write(f"control_{name}", spark.createDataFrame([(name, batch_id, max(tops) if tops else None)], "dataset string, batch_id bigint, watermark_us bigint"))
         return audit
 
-    def _panes(self, judged: DataFrame, batch_id: int) -> None:
-        """A late event within the limit changes one day pane; panes of a batch replace themselves."""
-        rows = judged.where("_outcome = 'merged'").withColumn("_at_us", micros(self.contract.event_time))
-        self.store.append_once(f"panes_{self.dataset}", slicing.panes(rows, [], "_at_us", DAY_US, {"events": F.lit(1)}), f"{batch_id:09d}")
+    def _panes(self, stored: DataFrame | None, merged: DataFrame, batch_id: int) -> None:
+        """Adds 1 to the day of each row that becomes current and takes 1 from the day of the version it
+        replaces; stale rows change nothing. Panes of a batch replace themselves."""
+        c = self.contract
+        if stored is None:
+            taken = merged.select(F.lit(None).cast("timestamp").alias("old_at"), F.col(c.event_time).alias("new_at"))
+        else:
+            taken = replacements(stored, merged, list(c.keys), c.event_time, "_silver_record_hash")
+        step = lambda at, n: F.struct(micros(at).alias("_at_us"), F.lit(n).alias("n"))
+        rows = taken.select(F.inline(F.array(step("new_at", 1), step("old_at", -1))))
+        self.store.append_once(f"panes_{self.dataset}", slicing.panes(rows, [], "_at_us", DAY_US, {"events": F.col("n")}), f"{batch_id:09d}")
 
     def serve(self, batch_id: int) -> DataFrame | None:
         """Serving table of the stream, recomputed for the days that the batch touched and kept for all others.
@@ -117,6 +124,6 @@ class StreamProcessor:
         return self.store.read(f"serving_{self.dataset}")
 
     def daily(self) -> DataFrame | None:
-        """Events per day over all batches so far."""
+        """Events per day over all batches so far, each by its current version."""
         panes = self.store.read_appended(f"panes_{self.dataset}")
-        return None if panes is None else slicing.merge_panes(None, panes.select("pane_us", "events"), [], ["events"])
+        return None if panes is None else slicing.merge_panes(None, panes.select("pane_us", "events"), [], ["events"]).where("events <> 0")
