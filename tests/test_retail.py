@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime
 
 import pytest
@@ -8,7 +9,7 @@ from tidewater.contracts import CONTRACTS, NOT_APPLICABLE, RULES, UNKNOWN
 from tidewater.operators import facts, marts, merge, quality, retrieval, scd
 from tidewater.operators.standardize import deduplicate_latest, standardize
 from tidewater.plans import guarded_sql as G  # noqa: N812
-from tidewater.plans import reference
+from tidewater.plans import model_b, reference
 from tidewater.sources import files
 from tidewater.sources.store import SnapshotStore
 
@@ -168,6 +169,17 @@ def test_every_twentieth_document_is_a_query(spark, folder):
     assert max(sum(r.query_id == q for r in rows) for q in own) == 50
 
 
+def test_arrival_reports_doubled_rows(spark, folder, tmp_path):
+    for f in os.listdir(folder):
+        os.symlink(f"{folder}/{f}", tmp_path / f)
+    os.unlink(tmp_path / "orders.parquet")
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    orders.unionByName(orders.orderBy("o_orderkey").limit(1)).write.parquet(f"{tmp_path}/orders.parquet")
+    said = {(r.layer, r.object_name): r.arrival_status for r in model_b.b_arrival(spark, str(tmp_path)).collect()}
+    assert said["silver", "orders"] == said["gold", "fact_sales"] == "MISMATCH"
+    assert said["bronze", "order_items"] == said["bronze", "customer_events"] == "ARRIVED"
+
+
 @pytest.mark.parametrize("sql", ["SELECT 1; SELECT 2", "SELECT a FROM t -- x\n LIMIT 1", "DELETE FROM t", "SELECT a FROM t UNION SELECT a FROM t LIMIT 1", "SELECT a FROM u LIMIT 1", "SELECT a FROM t, u LIMIT 1", "SELECT a FROM `u` LIMIT 1", "SELECT a FROM t", "SELECT a FROM t LIMIT 1000", "SELECT 1 LIMIT 1", "WITH x AS (SELECT * FROM u) SELECT * FROM x LIMIT 2"])
 def test_guard_refuses(sql):
     with pytest.raises(G.UnsafeSql):

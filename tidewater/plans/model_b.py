@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_key
+from ..sources.tables import table
 from .guarded_sql import catalogue, guard
 from .roles import role
 
@@ -141,10 +142,19 @@ def b_kpi_summary(spark, d):
 
 
 def b_arrival(spark, d):
-    """Expected against actual rows of the layers; a fact may hold no other number than its source."""
+    """Expected against actual rows of the layers. Expected are the rows of the feed, of order items its distinct
+    keys, and for a fact the distinct keys of its source; actual are the rows as read, deduplicated or built."""
+    from . import reference  # which imports this module
+
     o, i, e = role(spark, d, "orders"), role(spark, d, "lines"), role(spark, d, "events")
+    orders, events = table(spark, d, "orders"), table(spark, d, "events")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct()
     sides = None
-    for layer, name, source, actual in (("bronze", "orders", o, o), ("bronze", "order_items", i, i), ("bronze", "customer_events", e, e), ("silver", "orders", o, o), ("silver", "order_items", i, i), ("gold", "fact_sales", o, o.dropDuplicates(["order_id"])), ("gold", "fact_order_items", i, i.join(o.select("order_id"), "order_id"))):
+    for layer, name, source, actual in (
+        ("bronze", "orders", orders, o), ("bronze", "order_items", lines, i), ("bronze", "customer_events", events, e),
+        ("silver", "orders", orders, o.dropDuplicates(["order_id"])), ("silver", "order_items", lines, i.dropDuplicates(["order_item_id"])),
+        ("gold", "fact_sales", o.dropDuplicates(["order_id"]), reference.fact_sales(spark, d)), ("gold", "fact_order_items", i, reference.fact_order_items(spark, d)),
+    ):
         for side, rows in (("expected", source), ("actual", actual)):
             one = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(layer).alias("layer"), F.lit(name).alias("object_name"), F.lit(side).alias("side"), "n")
             sides = one if sides is None else sides.unionByName(one)
