@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import mixing, packing, pii, queries
-from tidewater.llm.pii_field import Field, Graph, Words
+from tidewater.llm.pii_field import Field, Graph
 from tidewater.llm.text import TOKENIZER, token_counts
 
 FIELD = Field.load(str(pii.WEIGHTS))
@@ -160,7 +160,7 @@ CASES = [
 
 @pytest.mark.parametrize(("text", "want"), CASES)
 def test_found_in_text(text, want):
-    assert [(k, text[s:e]) for k, s, e in pii.occurrences(FIELD, text, Words())] == want
+    assert [(k, text[s:e]) for k, s, e in pii.occurrences(FIELD, text)] == want
 
 
 def test_long_texts_nulls_and_round_trip(spark):
@@ -181,7 +181,7 @@ def test_messages_are_exact_on_a_chain_and_pass_over_skips():
     import itertools
     import math
 
-    f = Field(move=[[0.2, 0.1, -2.0], [-0.3, -0.5, 1.5], [0.3, 0.0, 0.4]], agree=[0.4, 0.9])
+    f = Field(move=[[0.2, 0.1, -2.0], [-0.3, -0.5, 1.5], [0.3, 0.0, 0.4]], agree=[[0.4, 0.9], [0.0, 0.0]])
     unary = [[0.0, 0.3, -1e9], [0.0, -0.2, 0.5], [0.0, 0.1, 0.2]]
     g = Graph([0, 1, 2], unary, [-1, 0, 1], [])
     weight = {}
@@ -192,5 +192,62 @@ def test_messages_are_exact_on_a_chain_and_pass_over_skips():
         for s in range(3):
             assert abs(m[s] - sum(w for y, w in weight.items() if y[k] == s) / z) < 1e-6
     lone = f.marginals(Graph([0, 5], [[0.0, 3.0, -1e9], [0.0, -0.1, -1e9]], [-1, -1], []))[1]
-    tied = f.marginals(Graph([0, 5], [[0.0, 3.0, -1e9], [0.0, -0.1, -1e9]], [-1, -1], [(0, 1)]))[1]
+    tied = f.marginals(Graph([0, 5], [[0.0, 3.0, -1e9], [0.0, -0.1, -1e9]], [-1, -1], [(0, 1, 0)]))[1]
     assert tied[1] > lone[1] + 0.05
+
+
+GIVEN = ["Emily", "Thomas", "Priya", "Giulia", "Ahmed", "Aoife", "Mehmet", "Petra", "Yuki", "Olu"]
+FAMILY = ["Johnson", "Becker", "Sharma", "Rossi", "Hassan", "Murphy", "Kaya", "Schneider", "Tanaka", "Adeyemi"]
+CLEAR = ["Mein Name ist {} {}, Anschrift folgt.", "Contact: {} {}, desk two.", "I spoke with {} {} at the counter.", "Me llamo {} {} y vivo lejos."]
+BARE = ["Danach zweifelte {} lange.", "Then {} shrugged anyway.", "Nothing pleased {} afterwards.", "Later {} insisted twice."]
+
+
+def _planted(field):
+    clear = bare = there = 0
+    for given, family in zip(GIVEN, FAMILY, strict=True):
+        for first in CLEAR:
+            for second in BARE:
+                there += 1
+                found = {t for _, _, _, t in field.spans(f"{first.format(given, family)} {second.format(family)}")}
+                clear += f"{given} {family}" in found
+                bare += family in found
+    return clear / there, bare / there
+
+
+def test_names_never_seen_are_found_and_skip_links_carry_them():
+    import copy
+
+    clear, bare = _planted(FIELD)
+    alone = copy.copy(FIELD)
+    alone.agree = [[0.0, 0.0], [0.0, 0.0]]
+    clear_alone, bare_alone = _planted(alone)
+    assert clear >= 0.9 and clear_alone >= 0.9
+    assert bare >= bare_alone + 0.3  # one clear mention makes the bare one known, over the skip link only
+    assert not set(map(str.lower, GIVEN + FAMILY)) & FIELD.vocabulary
+
+
+def test_reducing_the_graph_changes_no_state():
+    """What is fixed before messages are passed is what messages over the whole graph say."""
+    from tidewater.llm.pii_field import _CASES, _PAD, NEVER, O, candidates, links
+    from tidewater.llm.pii_lexer import lex
+
+    for text in [c for c, _ in CASES] + ["Contact: Priya Sharma, desk two. Then Sharma shrugged. The Sharma file went to Priya."]:
+        tokens = lex(text)
+        seen = [FIELD.view(t) for t in tokens]
+        nodes = candidates(tokens, seen)
+        chain, skips = links(tokens, nodes)
+        padded = [_PAD, _PAD, *seen, _PAD, _PAD]
+        unary = []
+        follows = set(chain)
+        for k, i in enumerate(nodes):
+            b, n = FIELD.score(tokens[i].kind, *padded[i : i + 5])
+            u = [0.0, b, n if chain[k] >= 0 else NEVER]
+            if chain[k] < 0:
+                u = [x + FIELD.move[O][s] for s, x in enumerate(u)]
+            if k not in follows:
+                u = [x + FIELD.move[s][O] for s, x in enumerate(u)]
+            unary.append(u)
+        full = FIELD.marginals(Graph(nodes, unary, chain, [(a, b, int(seen[nodes[b]][0] not in _CASES)) for a, b in skips]))
+        whole = {tokens[i].start for i, m in zip(nodes, full, strict=True) if max(m) != m[O]}
+        covered = {t.start for t in tokens for s, e, _, _ in FIELD.spans(text) if s <= t.start < e and t.start in {tokens[i].start for i in nodes}}
+        assert whole == covered, text

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import spread
-from .pii_field import Field, Words
+from .pii_field import Field
 from .pii_lexer import TYPES
 
 WEIGHTS = Path(__file__).with_name("pii_weights.json")
@@ -20,9 +20,9 @@ def placeholder(kind: str) -> str:
     return f"[{kind}]"
 
 
-def occurrences(field: Field, text: str, words: Words) -> list[tuple[str, int, int]]:
+def occurrences(field: Field, text: str) -> list[tuple[str, int, int]]:
     """(type, start, end) in characters, in order, not overlapping; ends are exclusive."""
-    return [(TYPES[kind.split("_")[0]], s, e) for s, e, kind, _ in field.spans(text, words)]
+    return [(TYPES[kind.split("_")[0]], s, e) for s, e, kind, _ in field.spans(text)]
 
 
 def redact(text: str, found: list[tuple[str, int, int]]) -> str:
@@ -35,13 +35,12 @@ def redact(text: str, found: list[tuple[str, int, int]]) -> str:
 
 def _finder(field: Field):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in batches:
             rows: list[int] = []
             found: list[tuple[str, int, int]] = []
             for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 if text:
-                    got = occurrences(field, text, words)
+                    got = occurrences(field, text)
                     found += got
                     rows += [i] * len(got)
             keys = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:-1]]
@@ -55,11 +54,10 @@ def _finder(field: Field):
 
 def _redactor(field: Field):
     def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in batches:
             texts, counts = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                got = occurrences(field, text, words) if text else []
+                got = occurrences(field, text) if text else []
                 texts.append(redact(text, got) if text else text)
                 counts.append(len(got))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array(counts, pa.int32())], [*batch.schema.names[:-1], "redacted_text", "replaced"])

@@ -3,6 +3,9 @@
 Numbers, addresses and mail addresses that keep one fixed shape become single tokens with a class;
 everything else becomes word, mark or line-end tokens. The lexer only proposes shapes: whether a
 token is personal is decided by the field, from its class, its words and its surroundings.
+
+Text is first cut into plain runs, which costs little; a shape is tried only where a run can begin
+one (a digit, an at sign, a street word), so plain prose pays for no shape.
 """
 
 from __future__ import annotations
@@ -58,18 +61,28 @@ _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?"
 EMAIL = rf"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]*[A-Za-z0-9_])?{_AT}{_LABEL}(?:(?:\.|{_DOT}){_LABEL})*?(?:\.|{_DOT})[A-Za-z]{{2,}}"
 # ---- end of fixed values ---------------------------------------------------------------------
 
-_SHAPES = [("email", rf"(?<![\w.%+\-@]){EMAIL}(?![\w\-])(?!\.[A-Za-z]{{2,}})")]
-_SHAPES += [("url", r"(?:https?://|www\.)[^\s<>\"]+")]
-_SHAPES += [(f"doc_{n}", _L + f"(?:{p})" + _R) for n, p in DOCUMENTS]
-_SHAPES += [("phone", _L + "(?:" + "|".join(PHONES) + ")" + _R)]
-_SHAPES += [(f"addr_{n}", rf"(?<![\w,/\-#])(?<!\d\.){p}") for n, p in zip(("fr", "de", "es", "en"), ADDRESSES, strict=True)]
-_SHAPES += [("code", r"(?<!\w)(?=[\w\-]*\d)[A-Za-z]+[\w\-]*\d[\w\-]*"), ("number", r"[$€£]?\d[\d.,:/\-]*\d|\d")]
-_SHAPES += [("word", r"[^\W\d_]+"), ("line", r"\n"), ("mark", r"[^\s\w]|_")]
-_LEX = re.compile("|".join(f"(?P<{n}>{p})" for n, p in _SHAPES), re.IGNORECASE)
+_NUMBER = re.compile(
+    "|".join([f"(?P<doc_{n}>{_L}(?:{p}){_R})" for n, p in DOCUMENTS] + [f"(?P<phone>{_L}(?:{'|'.join(PHONES)}){_R})"] + [rf"(?P<addr_{n}>(?<![\w,/\-#])(?<!\d\.){p})" for n, p in (("fr", ADDRESSES[0]), ("en", ADDRESSES[3]))]),
+    re.IGNORECASE,
+)
+_STREET = re.compile("|".join(rf"(?P<addr_{n}>(?<![\w,/\-#])(?<!\d\.){p})" for n, p in (("de", ADDRESSES[1]), ("es", ADDRESSES[2]))), re.IGNORECASE)
+_MAIL = re.compile(rf"(?<![\w.%+\-@]){EMAIL}(?![\w\-])(?!\.[A-Za-z]{{2,}})", re.IGNORECASE)
+_URL = re.compile(r"(?:https?://|www\.)[^\s<>\"]+", re.IGNORECASE)
+_CODE = re.compile(r"[A-Za-z]+[\w\-]*\d[\w\-]*|\d[\d.,:/\-]*\d|\d")
+_RUN = re.compile(r"[^\W\d_]+|\d\w*|\n|[^\s\w]|_")
+_LOCAL = re.compile(r"[A-Za-z0-9._%+\-]+\Z")
+# ---- fixed values: what a German or Spanish street begins or ends with ------------------------
+_DE_END = ("straße", "strasse", "str", "gasse", "weg", "allee", "platz", "ufer", "damm", "ring", "markt", "kamp", "graben", "steig")
+_DE_BEGIN = frozenset(("am", "an", "zum", "zur", "auf", "unter", "hinterm"))
+_ES_BEGIN = frozenset(("calle", "avenida", "plaza", "paseo", "camino", "ronda", "carrera", "c", "avda", "av", "pza", "p"))
+# ---- end of fixed values ---------------------------------------------------------------------
 
 TYPES = {"email": "EMAIL", "phone": "PHONE", "doc": "ID_NUMBER", "addr": "ADDRESS", "word": "NAME"}
 
 
+_SEPARATES, _GLUED = _BLANKS + ".-/", "0123456789-_"
+
+
 class Token(NamedTuple):
     start: int
     end: int
@@ -77,5 +90,97 @@ class Token(NamedTuple):
     text: str
 
 
+def _mail(text: str, at: int, done: int) -> re.Match | None:
+    """The mail address around an at sign (or its disguise) that begins at ``at``."""
+    stop = at
+    while stop > done and text[stop - 1] in " ([{":
+        stop -= 1
+    low = stop
+    while low > done and (text[low - 1].isalnum() or text[low - 1] in "._%+-"):
+        low -= 1
+    local = _LOCAL.search(text, low, stop)
+    begin = local.start() if local else stop
+    while begin < stop and not (text[begin].isascii() and text[begin].isalnum()):
+        begin += 1
+    found = _MAIL.match(text, begin) if begin < stop else None
+    return found if found and found.end() > at else None
+
+
+_STREET_WORD, _MAIL_WORD, _URL_WORD, _SHORT, _PLAIN = 1, 2, 3, 4, 0
+_SEEN: dict[str, int] = {}
+
+
+def _role(word: str) -> int:
+    """What a word may begin besides itself; cached, since texts repeat most words."""
+    low = word.lower()
+    if low in ("at", "arroba"):
+        got = _MAIL_WORD
+    elif low in ("http", "https", "www"):
+        got = _URL_WORD
+    elif low in _ES_BEGIN or low in _DE_BEGIN or low.endswith(_DE_END):
+        got = _STREET_WORD
+    else:
+        got = _SHORT if len(word) <= 2 else _PLAIN
+    if len(_SEEN) > 200_000:
+        _SEEN.clear()
+    _SEEN[word] = got
+    return got
+
+
 def lex(text: str) -> list[Token]:
-    return [Token(m.start(), m.end(), m.lastgroup, m.group()) for m in _LEX.finditer(text)]
+    """All tokens in order; a shape is one token, and no token overlaps another."""
+    out: list[Token] = []
+    add, new, seen, number, size = out.append, tuple.__new__, _SEEN, _NUMBER.match, len(text)
+    done = 0  # everything before is in a token
+    for m in _RUN.finditer(text):
+        start, end = m.span()
+        if start < done:
+            continue
+        run = text[start:end]
+        head, found = run[0], None
+        if head.isalpha():
+            kind, role = "word", seen.get(run)
+            if role is None:
+                role = _role(run)
+            if role:
+                if role == _STREET_WORD:
+                    found = _STREET.match(text, start)
+                elif role == _MAIL_WORD:
+                    found = _mail(text, start, 0) if start and text[start - 1] in " ([{" else None
+                elif role == _URL_WORD:
+                    found = _URL.match(text, start)
+                if found is None and end - start <= 2 and end < size and (text[end].isdigit() or (text[end] in _SEPARATES and text[end + 1 : end + 2].isdigit())):
+                    found = number(text, start)
+            if found is None and end < size and text[end] in _GLUED and (code := _CODE.match(text, start)):
+                if not start or not (text[start - 1].isalnum() or text[start - 1] == "_"):
+                    add(new(Token, (start, code.end(), "code", code.group())))
+                    done = code.end()
+                    continue
+        elif head.isdigit():
+            found = number(text, start)
+            if found is None:
+                plain = _CODE.match(text, start)
+                end = plain.end() if plain else end
+                add(new(Token, (start, end, "number", text[start:end])))
+                done = end
+                continue
+        elif head == "\n":
+            kind = "line"
+        else:
+            kind = "mark"
+            if head == "@":
+                found = _mail(text, start, 0)
+            elif head in "+(":
+                found = number(text, start)
+        if found is None:
+            add(new(Token, (start, end, kind, run)))
+            done = end
+            continue
+        begin, done = found.span()
+        while out and out[-1].start >= begin:  # the local part of an address may hold several runs
+            out.pop()
+        if out and out[-1].end > begin:  # it begins inside a token
+            last = out.pop()
+            add(new(Token, (last.start, begin, last.kind, text[last.start : begin])))
+        add(new(Token, (begin, done, found.lastgroup or ("url" if found.re is _URL else "email"), found.group())))
+    return out
