@@ -36,7 +36,7 @@ class BestFit:
             space = size + (fits & -fits).bit_length() - 1  # smallest space that is enough
             chosen = self._take(space)
         else:
-            if self.open == self.limit:
+            if self.open == self.limit and size < self.capacity:  # a full bin never stays open
                 self._take((self.free & -self.free).bit_length() - 1)  # closes the fullest
             chosen, space = self.made, self.capacity
             self.made += 1
