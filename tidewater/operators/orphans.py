@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .heavy import TARGET_ROWS, Heavy, find_heavy, neighbour, running_max, with_block
@@ -61,6 +61,7 @@ def find_orphans(
     match: str = SIMPLE,
     as_of: AsOf | None = None,
     cell_rows: int = CELL_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Child rows whose reference violates the declared match semantics, plus ``null_mask``.
 
@@ -70,7 +71,9 @@ def find_orphans(
     others must agree with some parent on their filled columns. Parent rows whose compared columns
     are NULL never match. Repeated child rows are each reported; repeated parents count once. An
     empty parent makes every checked reference an orphan; an empty child gives no rows. All other
-    child columns pass through, whatever they are called.
+    child columns pass through, unless they begin with two underscores. With ``as_of`` the parent's
+    periods of a key must be disjoint. ``counted`` (reference columns, child_at and a bigint __tie) is
+    what hot keys are counted on, if that is cheaper than the child itself.
     """
     if match not in (SIMPLE, FULL, PARTIAL):
         raise ValueError(f"unknown match semantics: {match}")
@@ -90,7 +93,7 @@ def find_orphans(
             parts.append(rows)
             continue
         filled = [r for r, b in zip(refs, nulls, strict=True) if not b]
-        parts.append(_anti(rows, parent, filled, as_of, cell_rows))
+        parts.append(_anti(rows, parent, filled, as_of, cell_rows, counted))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -112,7 +115,7 @@ def orphan_reasons(orphans: DataFrame, versions: DataFrame, periods: DataFrame,
     return out.withColumn("reason", reason).drop("__k", "__first", "__last")
 
 
-def _anti(child: DataFrame, parent: DataFrame, refs: list[tuple[str, str]], as_of: AsOf | None, cell_rows: int) -> DataFrame:
+def _anti(child: DataFrame, parent: DataFrame, refs: list[tuple[str, str]], as_of: AsOf | None, cell_rows: int, counted: DataFrame | None) -> DataFrame:
     keys = [f"__p{i}" for i in range(len(refs))]
     held = parent.select(*[F.col(p).alias(k) for (_, p), k in zip(refs, keys, strict=True)], *([F.col(as_of.parent_from).alias("__from"), F.col(as_of.parent_to).alias("__to")] if as_of else []))
     for k in keys:
@@ -120,27 +123,35 @@ def _anti(child: DataFrame, parent: DataFrame, refs: list[tuple[str, str]], as_o
     on = [child[c] == F.col(k) for (c, _), k in zip(refs, keys, strict=True)]
     if not as_of:
         return child.join(held.distinct(), on, "left_anti")
-    # Children of a heavy key are spread over time cells; a period is filed under every cell of
-    # that key it touches. Periods of a key are disjoint, so this adds one copy per cell at most.
+    # Children of a heavy key are spread over time cells, those of one instant by a hash.
     columns = [c for c, _ in refs]
-    both = child.select(*[F.col(c).alias(k) for c, k in zip(columns, keys, strict=True)], F.col(as_of.child_at).alias("__at")).unionByName(held.select(*keys, F.col("__from").alias("__at")))
-    heavy = find_heavy(both, keys, "__at", cell_rows)
-    at = child[as_of.child_at]
+    told = child.withColumn("__tie", F.xxhash64(*child.columns)) if counted is None else counted
+    told = told.select(*[F.col(c).alias(k) for c, k in zip(columns, keys, strict=True)], F.col(as_of.child_at).alias("__at"), "__tie")
+    for k in keys:
+        told = told.where(F.col(k).isNotNull())
+    both = told.unionByName(held.select(*keys, F.col("__from").alias("__at"), F.lit(None).cast("bigint").alias("__tie")))
+    heavy = find_heavy(both, keys, "__at", cell_rows, "__tie")
     if not heavy:
+        at = child[as_of.child_at]
         return child.join(held, [*on, at >= F.col("__from"), at < F.col("__to")], "left_anti")
-    located = with_block(child, heavy, columns, as_of.child_at, "__cell")
-    filed = _file_periods(held, heavy, keys)
-    rest = F.coalesce(located["__cell"], F.lit(-1))
+    located = with_block(child.withColumn("__tie", F.xxhash64(*child.columns)), heavy, columns, as_of.child_at, "__cell", "__tie").withColumn("__cell", F.coalesce("__cell", F.lit(-1).cast("bigint")))
+    filed = _file_periods(held, located.select(*[F.col(c).alias(k) for c, k in zip(columns, keys, strict=True)], "__cell"), heavy, keys)
     on = [located[c] == F.col(k) for c, k in zip(columns, keys, strict=True)]
-    hit = located.join(filed, [*on, rest == F.col("__pcell"), located[as_of.child_at] >= F.col("__from"), located[as_of.child_at] < F.col("__to")], "left_anti")
-    return hit.drop("__cell")
-
-
-def _file_periods(held: DataFrame, heavy: Heavy, keys: list[str]) -> DataFrame:
-    low = with_block(held, heavy, keys, "__from", "__lo")
-    both = with_block(low.withColumn("__last", F.least(F.col("__to") - 1, F.lit(1 << 61))), heavy, keys, "__last", "__hi")
-    top = F.lit(2_000)  # no key has so many cells: find_heavy makes MAX_BLOCKS at most
-    cells = F.when(F.col("__lo").isNull(), F.array(F.lit(-1).cast("bigint"))).otherwise(
-        F.when(F.col("__hi") >= 0, F.sequence(F.greatest("__lo", F.lit(0).cast("bigint")), F.greatest(F.lit(0).cast("bigint"), F.least("__hi", top.cast("bigint")))))
-    )
-    return both.select(*keys, "__from", "__to", F.explode(cells).alias("__pcell"))
+    hit = located.join(filed, [*on, located["__cell"] == F.col("__pcell"), located[as_of.child_at] >= F.col("__from"), located[as_of.child_at] < F.col("__to")], "left_anti")
+    return hit.drop("__cell", "__tie")
+
+
+def _file_periods(held: DataFrame, cells: DataFrame, heavy: Heavy, keys: list[str]) -> DataFrame:
+    """Each period under the cell in which it begins, and once more under each later cell that it reaches into.
+
+    Periods of a key are disjoint, so only the last one that began before a cell can reach into it:
+    one row more per cell, whatever the number of periods.
+    """
+    own = with_block(held, heavy, keys, "__from", "__pcell").withColumn("__pcell", F.coalesce("__pcell", F.lit(-1).cast("bigint")))
+    there = cells.where("__cell >= 0").select(*keys, F.col("__cell").alias("__pcell"), F.lit(None).cast("bigint").alias("__from"), F.lit(None).cast("bigint").alias("__to"))
+    spans = own.where("__pcell >= 0").select(*there.columns).unionByName(there)
+    period = F.struct("__from", "__to")
+    last = spans.groupBy(*keys, "__pcell").agg(F.max(F.when(F.col("__from").isNotNull(), period)).alias("__l"))
+    earlier = Window.partitionBy(*keys).orderBy("__pcell").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.withColumn("__c", F.max("__l").over(earlier)).where("__c IS NOT NULL").select(*keys, F.col("__c.__from").alias("__from"), F.col("__c.__to").alias("__to"), "__pcell")
+    return own.select(*keys, "__from", "__to", "__pcell").unionByName(carried)

@@ -34,13 +34,15 @@ def _versions(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
 
 def _orphans(spark: SparkSession, d: str, reasons: bool = False) -> DataFrame:
     versions = {(t, r): _versions(spark, d, t, r) for _, _, r, t in REFERENCES}
-    periods = {k: orphans.resolved_periods(v, ["key"], "u", "g", F.col("gone")) for k, v in versions.items()}
+    # Periods of a table serve all references to it: written once.
+    periods = {k: written(orphans.resolved_periods(v, ["key"], "u", "g", F.col("gone")), "p1-periods") for k, v in versions.items()}
     found = []
     for child, key, ref, parent in REFERENCES:
         # One row per child and reference; T is the child's first delivery.
         c = table(spark, d, child).select(clean(key).alias("child_id"), clean(ref).alias("ref"), micros("_ingested_at").alias("at")).where("child_id IS NOT NULL")
+        counted = c.select("ref", F.col("at").alias("first_at"), F.xxhash64("child_id").alias("__tie"))
         c = c.groupBy("child_id").agg(F.min("at").alias("first_at"), F.max("ref").alias("ref"))
-        lost = orphans.find_orphans(c, periods[parent, ref], [("ref", "key")], orphans.SIMPLE, orphans.AsOf("first_at"))
+        lost = orphans.find_orphans(c, periods[parent, ref], [("ref", "key")], orphans.SIMPLE, orphans.AsOf("first_at"), counted=counted)
         if reasons:
             lost = orphans.orphan_reasons(lost, versions[parent, ref], periods[parent, ref], ("ref", "key"), "first_at", "g")
         found.append(lost.select(F.lit(child).alias("child_table"), "child_id", F.lit(ref).alias("ref_field"), "ref", "first_at", *(["reason"] if reasons else [])))
