@@ -77,3 +77,37 @@ def test_empty_feed_and_repeated_rows(spark):
 def test_null_is_a_value_of_its_own(spark):
     rows = [("a", 1, 1, False, None, ""), ("a", 2, 2, False, None, ""), ("a", 3, 3, False, "null", ""), ("a", 4, 4, True, None, "")]
     assert periods(H.versions(observed(spark.createDataFrame(rows, SCHEMA)))) == [("a", 1, 3), ("a", 3, 4)]
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_the_store_ends_the_same_and_rewrites_only_named_buckets(spark, tmp_path, seed):
+    rows = feed(seed)
+    store = H.HistoryStore(spark, f"file://{tmp_path}/h", 10)
+    assert store.read() is None and store.deliver(observed(spark.createDataFrame([], SCHEMA))) == 0
+    for part in (rows[:50], rows[50:55], sorted(rows[55:], key=lambda r: -r[2]), rows[:50]):
+        store.deliver(observed(spark.createDataFrame(part, SCHEMA)))
+    assert periods(store.read()) == brute(rows)
+    assert store.deliver(observed(spark.createDataFrame([("a", 1_000, 1_000, False, "Z", "x")], SCHEMA))) == 1
+    assert periods(store.read()) == brute([*rows, ("a", 1_000, 1_000, False, "Z", "x")])
+
+
+def test_a_delivery_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    rows = feed(6)
+    store = H.HistoryStore(spark, f"file://{tmp_path}/h", 10)
+    store.deliver(observed(spark.createDataFrame(rows[:100], SCHEMA)))
+    late = observed(spark.createDataFrame(rows[100:], SCHEMA))
+    for kind in ("observed", "heads", "dimension"):
+        write = H.HistoryStore._write
+
+        def dies(self, frame, what, version, kind=kind, write=write):
+            if what == kind:
+                raise RuntimeError("lost")
+            return write(self, frame, what, version)
+
+        monkeypatch.setattr(H.HistoryStore, "_write", dies)
+        with pytest.raises(RuntimeError):
+            store.deliver(late)
+        monkeypatch.setattr(H.HistoryStore, "_write", write)
+        assert periods(store.read()) == brute(rows[:100])
+    store.deliver(late)
+    assert periods(store.read()) == brute(rows)

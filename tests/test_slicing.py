@@ -23,7 +23,8 @@ def test_borders_of_lateness(spark):
     first = spark.createDataFrame([("x", 1, 89, 1), ("x", 1, 90, 2), ("x", 1, None, 3), ("x", None, 1, 4), ("x", 0, 1, 5)], "d string, b bigint, t bigint, seq bigint")
     cut = spark.createDataFrame([("x", 0, None), ("x", 1, 90)], "d string, b bigint, cutoff bigint")
     for width in (1, 7, 30, 1000):
-        assert [r.seq for r in S.split_late(first, cut, "d", "b", "t", width).where("is_late").collect()] == [1]
+        states = S.pane_states(S.pane_log(first, "d", "b", "t", width), cut, "d", "b", width)
+        assert [r.seq for r in S.split_late(first, states, "d", "b", "t", width).where("is_late").collect()] == [1]
 
 
 def test_a_late_event_touches_one_pane_and_the_windows_over_it(spark):

@@ -1,10 +1,10 @@
 """Rolling totals over trailing periods, kept as a versioned daily state.
 
 The total of a window on day d is yesterday's total plus the day's arrivals minus the amount of the
-day that expires. ``build`` unrolls that recurrence over a calendar in one pass: arrivals and
-expiring amounts are joined as one stream of signed changes whose running sum is the total.
-``advance`` does one step of it, ``correct`` recomputes only the days that late corrections touch;
-both write rows with a higher version, and ``current`` reads the newest.
+day that expires. ``build`` unrolls that recurrence over a calendar in one pass, ``advance`` does one
+step of it, ``correct`` goes on from a kept state: it recomputes the days that late corrections touch
+and unrolls the recurrence over days that came since. Both write rows with a higher version, and
+``current`` reads the newest.
 """
 
 from __future__ import annotations
@@ -26,22 +26,40 @@ def daily(rows: DataFrame, keys: list[str], day: str, amount: Column) -> DataFra
     return kept.groupBy(*keys, F.col(day).alias("day")).agg(F.sum(F.coalesce(amount, F.lit(0))).cast(MONEY).alias("amount"), F.count(F.lit(1)).alias("n"))
 
 
+def _unroll(segments: DataFrame, days: DataFrame, keys: list[str], version: int) -> DataFrame:
+    """State rows of stretches of days (keys, window_days, start, stop, amount, n), from the totals on the day before each.
+
+    Each day adds its arrivals and takes off the amount of the day that expires; the running sum of
+    these steps goes on from the totals given. One row per day and window, whatever the number of events.
+    """
+    of = [*keys, "window_days", "start"]
+    sized = days.select(*keys, "day", "amount", "n").join(segments.select(*of, "stop", (F.col("n") != 0).alias("goes_on")), keys)
+    arriving = sized.where("day BETWEEN start AND stop").select(*of, "day", "amount", "n")
+    leaves = sized.withColumn("gone", F.date_add("day", F.col("window_days"))).where("gone BETWEEN start AND stop AND (day >= start OR goes_on)")
+    expiring = leaves.select(*of, F.col("gone").alias("day"), (-F.col("amount")).cast(MONEY).alias("amount"), (-F.col("n")).alias("n"))
+    calendar = segments.where("start <= stop").select(*of, F.explode(F.sequence("start", "stop")).alias("day"), F.col("amount").alias("a0"), F.col("n").alias("n0"))
+    first = F.col("day") == F.col("start")
+    carried = calendar.select(*of, "day", F.when(first, F.col("a0")).otherwise(F.lit(0)).cast(MONEY).alias("amount"), F.when(first, F.col("n0")).otherwise(F.lit(0)).cast("bigint").alias("n"))
+    steps = arriving.unionByName(expiring).unionByName(carried).groupBy(*of, "day").agg(F.sum("amount").alias("amount"), F.sum("n").alias("n"))
+    upto = Window.partitionBy(*of).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return steps.select(*keys, "day", "window_days", F.sum("amount").over(upto).cast(MONEY).alias("amount"), F.sum("n").over(upto).alias("n"), F.lit(version).alias("version"))
+
+
+def _spans(days: DataFrame, keys: list[str], low: str, high: str) -> DataFrame:
+    return days.groupBy(*keys).agg(F.min("day").alias(low), F.max("day").alias(high))
+
+
+def _each_window(windows: list[int]) -> Column:
+    return F.explode(F.array(*[F.lit(w) for w in windows])).alias("window_days")
+
+
 def build(days: DataFrame, keys: list[str], windows: list[int], version: int = 0) -> DataFrame:
     """State (keys, day, window_days, amount, n, version) from daily amounts, every day of each key's span.
 
-    The span runs from the key's first to its last day. One row per key, day and window, so the
-    size follows keys x days and not the number of events.
+    The span runs from the key's first to its last day; the recurrence starts from nothing.
     """
-    span = days.groupBy(*keys).agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    calendar = span.select(*keys, F.explode(F.sequence("lo", "hi")).alias("day"))
-    sized = F.explode(F.array(*[F.lit(w) for w in windows]))
-    arriving = days.select(*keys, "day", sized.alias("window_days"), "amount", "n")
-    expiring = arriving.select(*keys, F.date_add("day", F.col("window_days")).alias("day"), "window_days", (-F.col("amount")).cast(MONEY).alias("amount"), (-F.col("n")).alias("n"))
-    none = calendar.select(*keys, "day", sized.alias("window_days"), F.lit(0).cast(MONEY).alias("amount"), F.lit(0).cast("bigint").alias("n"))
-    steps = arriving.unionByName(expiring).unionByName(none).groupBy(*keys, "window_days", "day").agg(F.sum("amount").alias("amount"), F.sum("n").alias("n"))
-    upto = Window.partitionBy(*keys, "window_days").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = steps.select(*keys, "day", "window_days", F.sum("amount").over(upto).cast(MONEY).alias("amount"), F.sum("n").over(upto).alias("n"))
-    return totals.join(span, keys).where("day <= hi").select(*keys, "day", "window_days", "amount", "n", F.lit(version).alias("version"))
+    segments = _spans(days, keys, "start", "stop").select(*keys, "start", "stop", _each_window(windows), F.lit(0).cast(MONEY).alias("amount"), F.lit(0).cast("bigint").alias("n"))
+    return _unroll(segments, days, keys, version)
 
 
 def current(state: DataFrame, keys: list[str]) -> DataFrame:
@@ -68,25 +86,26 @@ def advance(state: DataFrame, days: DataFrame, today: Column, keys: list[str], w
 def correct(state: DataFrame, old_days: DataFrame, new_days: DataFrame, keys: list[str], windows: list[int], version: int) -> DataFrame:
     """New versions of exactly those state rows that a change from ``old_days`` to ``new_days`` moves.
 
-    A day's change reaches the window_days days that begin with it. A key whose span grows or
-    shrinks, or that is new, is rebuilt; rows that fall out of its span get n = NULL (no row).
+    A day's change reaches the window_days days that begin with it. Days after a key's last one go on
+    from its totals on that day, days before its first one and new keys start from nothing; rows that
+    fall out of a span get n = NULL (no row). Nothing else is computed again. The three frames are
+    read several times: give written tables.
     """
-    change = (
-        new_days.select(*keys, "day", "amount", "n").unionByName(old_days.select(*keys, "day", (-F.col("amount")).cast(MONEY).alias("amount"), (-F.col("n")).alias("n")))
-        .groupBy(*keys, "day").agg(F.sum("amount").cast(MONEY).alias("amount"), F.sum("n").alias("n"))
-    )
-    span = lambda d, p: d.groupBy(*keys).agg(F.min("day").alias(f"{p}lo"), F.max("day").alias(f"{p}hi"))
-    spans = span(new_days, "a").join(span(old_days, "b"), keys, "full")
-    moved = spans.where(~(F.col("alo").eqNullSafe(F.col("blo")) & F.col("ahi").eqNullSafe(F.col("bhi")))).select(*keys)
-    now = current(state, keys)
-    # Keys with an unchanged span: add the change to the days that it reaches.
-    reach = change.where("amount != 0 OR n != 0").join(moved, keys, "left_anti").select(*keys, F.col("day").alias("from_day"), F.explode(F.array(*[F.lit(w) for w in windows])).alias("window_days"), "amount", "n")
+    minus = old_days.select(*keys, "day", (-F.col("amount")).cast(MONEY).alias("amount"), (-F.col("n")).alias("n"))
+    change = new_days.select(*keys, "day", "amount", "n").unionByName(minus).groupBy(*keys, "day").agg(F.sum("amount").cast(MONEY).alias("amount"), F.sum("n").alias("n")).where("amount != 0 OR n != 0")
+    spans = _spans(new_days, keys, "alo", "ahi").join(_spans(old_days, keys, "blo", "bhi"), keys, "full")
+    now = current(state, keys).where("n IS NOT NULL").drop("version")
+    # Inside the old span: yesterday's row plus what changed in its window.
+    reach = change.select(*keys, F.col("day").alias("from_day"), _each_window(windows), "amount", "n")
     reach = reach.select(*keys, F.explode(F.sequence("from_day", F.date_add("from_day", F.col("window_days") - 1))).alias("day"), "window_days", "amount", "n")
     delta = reach.groupBy(*keys, "day", "window_days").agg(F.sum("amount").alias("da"), F.sum("n").alias("dn"))
-    fixed = now.join(delta, [*keys, "day", "window_days"]).select(*keys, "day", "window_days", (F.col("amount") + F.col("da")).cast(MONEY).alias("amount"), (F.col("n") + F.col("dn")).alias("n"))
-    fixed = fixed.withColumn("version", F.lit(version))
-    # Keys whose span moved: rebuilt; what no longer exists is marked.
-    rebuilt = build(new_days.join(moved, keys, "left_semi"), keys, windows, version)
-    gone = now.join(moved, keys, "left_semi").join(rebuilt, [*keys, "day", "window_days"], "left_anti")
-    gone = gone.select(*keys, "day", "window_days", F.lit(None).cast(MONEY).alias("amount"), F.lit(None).cast("bigint").alias("n"), F.lit(version).alias("version"))
-    return fixed.unionByName(rebuilt).unionByName(gone)
+    both = now.join(spans, keys).join(delta, [*keys, "day", "window_days"], "left")
+    out = F.col("alo").isNull() | (F.col("day") < F.col("alo")) | (F.col("day") > F.col("ahi"))
+    total = both.withColumns({"amount": (F.col("amount") + F.coalesce("da", F.lit(0))).cast(MONEY), "n": F.col("n") + F.coalesce("dn", F.lit(0)), "out": out})
+    moved = total.where("da IS NOT NULL OR out").select(*keys, "day", "window_days", F.when(~F.col("out"), F.col("amount")).alias("amount"), F.when(~F.col("out"), F.col("n")).alias("n"), F.lit(version).alias("version"))
+    # Beyond it: days after the last one go on from there, all others start from nothing.
+    nothing = [F.lit(0).cast(MONEY).alias("amount"), F.lit(0).cast("bigint").alias("n")]
+    onward = total.where("day = bhi AND ahi > bhi").select(*keys, F.date_add("bhi", 1).alias("start"), F.col("ahi").alias("stop"), "window_days", "amount", "n")
+    fresh = spans.where("alo IS NOT NULL AND (blo IS NULL OR alo < blo)").select(*keys, F.col("alo").alias("start"), F.least("ahi", F.date_sub("blo", 1)).alias("stop"), _each_window(windows), *nothing)
+    grown = _unroll(onward.unionByName(fresh), new_days, keys, version).join(spans.select(*keys, "alo"), keys).where("day >= alo").drop("alo")
+    return moved.unionByName(grown)

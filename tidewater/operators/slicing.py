@@ -21,7 +21,8 @@ def batch_cutoffs(deliveries: DataFrame, group: str, batch: str, at: str, latene
     """(group, batch, cutoff): greatest ``at`` of all smaller batches minus the lateness; NULL before the first.
 
     ``batch`` and ``at`` are bigint, ``lateness_us`` a column constant per group. NULL ``at`` is
-    never the greatest; rows with NULL batch are left out. One row per batch, found by partial
+    never the greatest; rows with NULL batch are left out. A pane log with its ``top`` does as well as
+    the deliveries. One row per batch, found by partial
     aggregation; the running maximum goes by blocks of BLOCK batches and then inside each block.
     """
     tops = deliveries.where(F.col(batch).isNotNull()).groupBy(group, batch).agg(F.max(at).alias("top"), F.max(lateness_us).alias("late_us"))
@@ -39,17 +40,36 @@ def first_deliveries(deliveries: DataFrame, dataset: str, identifier: str, fallb
     return first.select(dataset, "message_key", f"r.{seq}", *[f"r.{c}" for c in keep])
 
 
-def split_late(messages: DataFrame, cutoffs: DataFrame, group: str, batch: str, at: str, width_us: int = 24 * HOUR_US) -> DataFrame:
-    """Adds ``pane_us`` and ``is_late``: event time before the batch's cutoff.
+def pane_log(deliveries: DataFrame, group: str, batch: str, at: str, width_us: int = 24 * HOUR_US, lateness_us: Column | None = None) -> DataFrame:
+    """(group, batch, pane_us, rows, top, [late_us]): what each batch put into each pane, and the latest time there.
 
-    Panes that end at or before the cutoff are closed, so their events are late; panes after it are
-    open. Only in the one pane that the cutoff cuts are events compared with it. NULL time or batch,
-    or no cutoff, is never late.
+    Rows with NULL time or batch are in no pane. All deliveries count, combined before the shuffle.
     """
-    joined = messages.join(cutoffs, [group, batch], "left").withColumn("pane_us", pane_of(F.col(at), width_us))
-    edge = pane_of(F.col("cutoff"), width_us)
-    late = (F.col("pane_us") < edge) | ((F.col("pane_us") == edge) & (F.col(at) < F.col("cutoff")))
-    return joined.withColumn("is_late", F.coalesce(late, F.lit(False)))
+    rows = deliveries.where(F.col(batch).isNotNull() & F.col(at).isNotNull())
+    extra = [F.max(lateness_us).alias("late_us")] if lateness_us is not None else []
+    return rows.groupBy(group, batch, pane_of(F.col(at), width_us).alias("pane_us")).agg(F.count(F.lit(1)).alias("rows"), F.max(at).alias("top"), *extra)
+
+
+def pane_states(log: DataFrame, cutoffs: DataFrame, group: str, batch: str, width_us: int = 24 * HOUR_US) -> DataFrame:
+    """(group, batch, pane_us, state, cutoff): how each pane stood when the batch arrived.
+
+    CLOSED: it ended at or before the batch's cutoff. CUT: the cutoff lies inside it. OPEN: all else,
+    also where there is no cutoff yet.
+    """
+    joined = log.select(group, batch, "pane_us").join(cutoffs, [group, batch], "left")
+    state = F.when(F.col("pane_us") + width_us <= F.col("cutoff"), "CLOSED").when(F.col("pane_us") < F.col("cutoff"), "CUT").otherwise("OPEN")
+    return joined.withColumn("state", state)
+
+
+def split_late(messages: DataFrame, states: DataFrame, group: str, batch: str, at: str, width_us: int = 24 * HOUR_US) -> DataFrame:
+    """Adds ``pane_us`` and ``is_late``, from the state of the message's pane when its batch arrived.
+
+    What falls into a closed pane is late, into an open one not; only in the one pane that a cutoff
+    cuts are event times compared with it. NULL time or batch is never late.
+    """
+    joined = messages.withColumn("pane_us", pane_of(F.col(at), width_us)).join(states, [group, batch, "pane_us"], "left")
+    late = (F.col("state") == "CLOSED") | ((F.col("state") == "CUT") & (F.col(at) < F.col("cutoff")))
+    return joined.withColumn("is_late", F.coalesce(late, F.lit(False))).drop("state")
 
 
 def pane_of(at: Column, width_us: int) -> Column:

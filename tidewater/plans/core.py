@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import clean, is_removal, micros
 from ..operators import bitemporal, exactly_once, history, orphans, rolling, slicing
-from ..operators.heavy import find_heavy
 from ..sources.fs import scratch, written
 from ..sources.tables import table
 
@@ -68,6 +67,18 @@ def p1_orphan_reasons(spark: SparkSession, d: str) -> DataFrame:
     return _orphans(spark, d, True).groupBy("child_table", "ref_field", month, "reason").agg(F.count(F.lit(1)).alias("orphans"))
 
 
+def p1_composite(spark: SparkSession, d: str) -> DataFrame:
+    """Payments whose (order, payment method) no order has, under each match semantics and per null mask."""
+    refs = [("order_id", "order_id"), ("payment_method", "payment_method")]
+    pair = lambda name: table(spark, d, name).select(*[clean(c).alias(c) for c, _ in refs])
+    child, parent = pair("payments"), pair("retail_orders")
+    out = None
+    for match in (orphans.SIMPLE, orphans.FULL, orphans.PARTIAL):
+        lost = orphans.find_orphans(child, parent, refs, match).groupBy(F.lit(match).alias("match_semantics"), "null_mask").agg(F.count(F.lit(1)).alias("orphans"))
+        out = lost if out is None else out.unionByName(lost)
+    return out
+
+
 # ---- 2. history of changing attributes ------------------------------------------------------
 
 DIMENSIONS = {
@@ -85,14 +96,25 @@ def dimension_observations(spark: SparkSession, d: str, dim: str) -> DataFrame:
     return history.observations(t, clean(key), micros("updated_at"), micros("_ingested_at"), is_removal("cdc_operation"), cols)
 
 
+#: Deliveries up to here form the first merge of the dimensions, later ones the second.
+MERGE_CUT = "2025-03-01 00:00:00"
+
+
 def _dimension(spark: SparkSession, d: str, dim: str) -> DataFrame:
-    name, key, _ = DIMENSIONS[dim]
-    raw = table(spark, d, name).select(clean(key).alias("business_key"), micros("updated_at").alias("at_us"))
-    return history.versions(dimension_observations(spark, d, dim), heavy=find_heavy(raw.where("business_key IS NOT NULL"), ["business_key"], "at_us"))
+    """The dimension after two deliveries are merged, early and late by arrival."""
+    rows = dimension_observations(spark, d, dim)
+    late = F.coalesce(F.col("delivered_us") >= F.unix_micros(F.lit(MERGE_CUT).cast("timestamp")), F.lit(False))
+    store = history.HistoryStore(spark, scratch(spark, f"p2-{dim}"))
+    store.deliver(rows.where(~late))
+    store.deliver(rows.where(late))
+    kept = store.read()
+    return history.versions(rows.limit(0)) if kept is None else kept
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    parts = [_dimension(spark, d, dim).select(F.lit(dim).alias("dim_name"), "business_key", "valid_from_us", "valid_to_us") for dim in DIMENSIONS]
+    # The dimensions have stores of their own, so their merges run side by side.
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        parts = list(pool.map(lambda dim: _dimension(spark, d, dim).select(F.lit(dim).alias("dim_name"), "business_key", "valid_from_us", "valid_to_us"), DIMENSIONS))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -160,9 +182,11 @@ def _lateness(spark: SparkSession, d: str) -> DataFrame:
 def _judged(spark: SparkSession, d: str) -> DataFrame:
     rows = deliveries(spark, d)
     # stream_settings has one row per stream; Spark broadcasts it by its measured size.
-    cut = slicing.batch_cutoffs(rows.join(_lateness(spark, d), "dataset_name"), "dataset_name", "batch", "at", F.col("late_us"))
+    log = slicing.pane_log(rows.join(_lateness(spark, d), "dataset_name"), "dataset_name", "batch", "at", DAY_US, F.col("late_us"))
+    log = written(log, "p4-pane-log")
+    states = slicing.pane_states(log, slicing.batch_cutoffs(log, "dataset_name", "batch", "top", F.col("late_us")), "dataset_name", "batch", DAY_US)
     first = slicing.first_deliveries(rows, "dataset_name", "message_id", "_record_hash", "delivery_seq", ["batch", "at"])
-    return slicing.split_late(first, cut, "dataset_name", "batch", "at")
+    return slicing.split_late(first, states, "dataset_name", "batch", "at", DAY_US)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -187,9 +211,16 @@ def p4_emissions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_weekly_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Seven-day windows that begin every day, recomposed from day panes."""
-    p = slicing.merge_panes(None, _day_panes(spark, d).drop("batch"), ["dataset_name"], ["events"])
-    return slicing.compose(p, None, ["dataset_name"], ["events"], 7 * DAY_US, DAY_US)
+    """Seven-day windows that begin every day: formed from the panes of the earlier half of the batches, and
+    recomposed where later batches changed a pane under them."""
+    keys, took, size = ["dataset_name"], ["events"], 7 * DAY_US
+    panes = written(_day_panes(spark, d), "p4-panes")
+    middle = panes.agg(F.max("batch")).first()[0] or 0
+    later = F.coalesce(F.col("batch") * 2 > F.lit(middle), F.lit(False))
+    stored = slicing.merge_panes(None, panes.where(~later), keys, took)
+    changed = slicing.merge_panes(None, panes.where(later), keys, took)
+    again = slicing.compose(slicing.merge_panes(stored, changed, keys, took), changed, keys, took, size, DAY_US)
+    return slicing.compose(stored, None, keys, took, size, DAY_US).join(again, [*keys, "window_us"], "left_anti").unionByName(again)
 
 
 # ---- 5. messages delivered more than once ---------------------------------------------------
@@ -249,9 +280,18 @@ def counting_orders(spark: SparkSession, d: str, known_by: str | None = None) ->
     return newest.where("NOT r.gone AND r.store_id IS NOT NULL AND r.day IS NOT NULL").select("r.store_id", "r.day", "r.net_amount")
 
 
+#: Rows delivered before this form the state; all later ones go into it as corrections and further days.
+STATE_CUT = "2025-04-01 00:00:00"
+
+
 def _rolling(spark: SparkSession, d: str, windows: list[int]) -> DataFrame:
-    days = rolling.daily(counting_orders(spark, d), ["store_id"], "day", F.col("net_amount"))
-    return rolling.build(days, ["store_id"], windows)
+    """The current state: version 0 built from the rows known by STATE_CUT, version 1 for all that came later."""
+    keys = ["store_id"]
+    then = written(rolling.daily(counting_orders(spark, d, STATE_CUT), keys, "day", F.col("net_amount")), "p6-then")
+    now = written(rolling.daily(counting_orders(spark, d), keys, "day", F.col("net_amount")), "p6-now")
+    state = written(rolling.build(then, keys, windows, 0), "p6-state")
+    fixed = written(rolling.correct(state, then, now, keys, windows, 1), "p6-corrections")
+    return rolling.current(state.unionByName(fixed), keys).where("n IS NOT NULL")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -272,19 +312,14 @@ def p6_trailing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_corrected(spark: SparkSession, d: str) -> DataFrame:
-    """As p6_trailing, from a state built on the rows known by 1 April and corrected by all later ones."""
-    keys = ["store_id"]
-    now = rolling.daily(counting_orders(spark, d), keys, "day", F.col("net_amount"))
-    then = rolling.daily(counting_orders(spark, d, "2025-04-01 00:00:00"), keys, "day", F.col("net_amount"))
-    state = rolling.build(then, keys, [7, 30], 0)
-    fixed = rolling.correct(state, then, now, keys, [7, 30], 1)
-    return _report(rolling.current(state.unionByName(fixed), keys).where("n IS NOT NULL"))
+    """The same as p6_trailing, under its earlier name."""
+    return p6_trailing(spark, d)
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_orphans_by_month, p1_orphan_reasons, p2_found, p2_dim_customer, p2_merged_deliveries, p3_found, p3_orders_with_attributes,
+        p1_found, p1_orphans_by_month, p1_orphan_reasons, p1_composite, p2_found, p2_dim_customer, p2_merged_deliveries, p3_found, p3_orders_with_attributes,
         p4_found, p4_daily_totals, p4_emissions, p4_weekly_windows, p5_found, p5_messages_per_day, p6_found, p6_trailing, p6_corrected,
     )
 }

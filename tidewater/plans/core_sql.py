@@ -107,10 +107,20 @@ def _again(name: str, key: str) -> str:
 
 _ARGS = (("customer_events", "event_id"), ("inventory_events", "inventory_event_id"))
 
+def _composite() -> str:
+    pair = f"SELECT {_c('order_id')} AS o, {_c('payment_method')} AS m"
+    some = lambda *on: "NOT EXISTS (SELECT 1 FROM p WHERE " + " AND ".join(f"p.{x} = c.{x}" for x in on) + ")"
+    whole = f"(o IS NOT NULL AND m IS NOT NULL AND {some('o', 'm')})"
+    where = {"simple": whole, "full": f"{whole} OR (o IS NULL) <> (m IS NULL)", "partial": f"{whole} OR (o IS NULL AND m IS NOT NULL AND {some('m')}) OR (m IS NULL AND o IS NOT NULL AND {some('o')})"}
+    counted = [f"SELECT '{n}' AS match_semantics, CAST((o IS NULL)::INT + 2 * (m IS NULL)::INT AS INTEGER) AS null_mask, count(*) AS orphans FROM c WHERE {w} GROUP BY 1, 2" for n, w in where.items()]
+    return f"WITH c AS ({pair} FROM payments), p AS ({pair} FROM retail_orders) " + " UNION ALL ".join(counted)
+
+
 SQL = {
     "p1_found": f"SELECT child_table, child_id, ref_field FROM ({_orphans()})",
     "p1_orphans_by_month": f"SELECT child_table, ref_field, strftime(t, '%Y-%m') AS period, count(*) AS orphans, count(DISTINCT ref) AS lost_keys FROM ({_orphans()}) GROUP BY 1, 2, 3",
     "p1_orphan_reasons": f"SELECT child_table, ref_field, strftime(t, '%Y-%m') AS period, reason, count(*) AS orphans FROM ({_orphans()}) GROUP BY 1, 2, 3, 4",
+    "p1_composite": _composite(),
     "p2_found": " UNION ALL ".join(
         f"SELECT '{n}' AS dim_name, business_key, valid_from_us, valid_to_us FROM ({_versions(t, k, c)})"
         for n, t, k, c in (("dim_customer", "customers", "customer_id", _CUSTOMER), ("dim_product", "products", "product_id", _PRODUCT), ("dim_store", "stores", "store_id", _STORE))
