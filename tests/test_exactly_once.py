@@ -63,3 +63,19 @@ def test_winners_of_nothing_and_of_ties(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2)], "k string, s bigint")
     assert [r.s for r in winners(df, "k", [F.col("s")]).collect()] == [1]
     assert winners(df.limit(0), "k", [F.col("s")]).count() == 0
+
+
+def test_index_reads_its_buckets_and_is_compacted(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators.key_index import KeyIndex
+
+    index, versions = KeyIndex(spark, f"file://{tmp_path}/i"), []
+    index.COMPACT_AFTER = 3
+    rows = lambda lo, hi, part: spark.range(lo, hi).select(F.xxhash64("id").alias("h"), F.lit(part).alias("part"))
+    for n in range(1, 6):
+        versions = index.add(versions, n, rows(10 * n, 10 * n + 10, f"p{n}"))
+    assert versions == [4, 5] and index.vacuum(versions) == 3
+    sought = spark.createDataFrame([(12,), (55,), (999,)], "id bigint").select(F.xxhash64("id").alias("h"))
+    assert {r.part for r in index.parts_of(versions, sought).collect()} == {"p1", "p5"}
+    assert index.parts_of([], sought).count() == 0

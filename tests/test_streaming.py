@@ -84,3 +84,57 @@ def test_settings_are_checked(tmp_path):
         files.emit_microbatches([{"a": 2}], tmp_path)
     with pytest.raises(files.SourceError):
         files.emit_microbatches(["[1]"], tmp_path / "n")
+
+
+def test_a_batch_that_dies_anywhere_and_runs_again_ends_as_if_it_never_died(spark, tmp_path, monkeypatch):
+    """Every single write of a batch fails once, before and after it happened; state, panes and audit stay equal."""
+    from tidewater.operators.key_index import KeyIndex
+
+    schema = ", ".join(f"`{n}` string" for n, _ in CONTRACTS["customer_events"].columns)
+    names = [x for x, _ in CONTRACTS["customer_events"].columns]
+    frame = lambda rows: spark.createDataFrame([tuple(r.get(x) for x in names) for r in rows], schema)
+    batches = [
+        [event("a", "2025-01-10 12:00:00"), event("b", "2025-01-10 13:00:00"), event("c", "2025-01-12 14:00:00")],
+        [event("b", "2025-01-11 20:00:00"), event("a", "2025-01-10 12:00:00"), event("d", "2025-01-12 15:00:00"), event("e", "2025-01-01 00:00:00")],
+    ]
+
+    def outcome(p):
+        state = sorted((r.event_id, str(r.event_timestamp)) for r in p.store.read(p.state).collect())
+        panes = sorted((r.pane_us, r.events) for r in p.daily().collect())
+        audit = sorted(tuple(r) for r in p.read("audit").collect())
+        return state, panes, audit, {k: p.store.pointer(p.state)[k] for k in ("batch", "watermark_us", "parts")}
+
+    whole = StreamProcessor(SnapshotStore(spark, f"file://{tmp_path}/whole"), "customer_events", 24)
+    for n, b in enumerate(batches):
+        whole(frame(b), n)
+    want = outcome(whole)
+    assert [r.rows_read for r in whole.read("audit").orderBy("batch_id").collect()] == [3, 4]
+    broken = StreamProcessor(SnapshotStore(spark, f"file://{tmp_path}/broken"), "customer_events", 24)
+    broken(frame(batches[0]), 0)
+    first = outcome(broken)
+    writes = [(SnapshotStore, "append_once", f"{t}_customer_events") for t in ("raw", "judged", "quarantine", "audit", "panes")] + [(SnapshotStore, "write_parts", None), (KeyIndex, "add", None), (SnapshotStore, "publish", None)]
+    for cls, method, only in writes:
+        for after in (False, True):
+            if method == "publish" and after:
+                continue
+            real = getattr(cls, method)
+
+            def dies(self, *args, real=real, only=only, after=after):
+                if only is None or args[0] == only:
+                    if after:
+                        real(self, *args)
+                    raise RuntimeError("lost")
+                return real(self, *args)
+
+            monkeypatch.setattr(cls, method, dies)
+            with pytest.raises(RuntimeError, match="lost"):
+                broken(frame(batches[1]), 1)
+            monkeypatch.setattr(cls, method, real)
+            assert outcome(broken) == first
+    broken(frame(batches[1]), 1)
+    assert outcome(broken) == want
+    assert broken(frame(batches[1]), 1)["merged_rows"] == 2 and outcome(broken) == want
+    versions = want[3]["parts"]
+    assert versions["2025-01-12"] == 2 and versions["2025-01-11"] == 2
+    # b left its first day: that day was rewritten too, though no row of the batch falls in it
+    assert sorted((r.event_id, r.event_timestamp.day) for r in whole.store.read(whole.state).collect()) == [("a", 10), ("b", 11), ("c", 12), ("d", 12)]

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import clean
 from ..sources.fs import Files
+from .key_index import KeyIndex
 
 #: Partitions a store may have; their names, and nothing else, are listed on the driver.
 MAX_PARTITIONS = 20_000
@@ -55,6 +56,7 @@ class MessageStore:
 
     def __init__(self, spark: SparkSession, path: str, key: Column, partition: Column, seq: str):
         self.spark, self.path, self.files, self._key, self._seq = spark, path.rstrip("/"), Files(spark), key, seq
+        self._index = KeyIndex(spark, f"{self.path}/index")
         self._partition = F.coalesce(F.regexp_replace(partition.cast("string"), "[^A-Za-z0-9_-]", "_"), F.lit("none"))
 
     def _manifest(self) -> dict:
@@ -94,32 +96,29 @@ class MessageStore:
         kept.withColumn("part", F.col("__part")).hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(target)
         new = {n[5:] for n in self.files.names(target) if n.startswith("part=")}
         schema = old["schema"] or combined.schema.jsonValue()
-        # The index may name a partition that a message has left since; that costs a read, no result.
-        index = f"{self.path}/index/v={version}"
         fresh = self.spark.read.schema(T.StructType.fromJson(schema)).parquet(*[f"{target}/part={p}" for p in sorted(new)]).where("__fresh")
-        fresh.select(F.xxhash64("message_key").alias("h"), F.col("__part").alias("part")).write.mode("overwrite").parquet(index)
+        index = self._index.add(old["index"], version, fresh.select(F.xxhash64("message_key").alias("h"), F.col("__part").alias("part")))
         parts = {p: v for p, v in old["parts"].items() if p not in affected} | dict.fromkeys(new, version)
-        self.files.write_json(f"{self.path}/manifest.json", {"version": version, "parts": parts, "index": [*old["index"], index], "schema": schema})
+        self.files.write_json(f"{self.path}/manifest.json", {"version": version, "parts": parts, "index": index, "schema": schema})
         return {"version": version, "found": len(found), "written": len(new)}
 
     def _affected(self, manifest: dict, incoming: DataFrame) -> tuple[set[str], set[str]]:
         """Names of the partitions that the index gives for the delivery, and of those it falls in itself."""
         names = incoming.select(F.col("__part").alias("part"), F.lit(False).alias("found")).distinct()
         if manifest["index"]:
-            index = self.spark.read.schema("h bigint, part string").parquet(*manifest["index"])
-            sought = incoming.select(F.xxhash64("message_key").alias("h")).distinct()
-            names = names.unionByName(index.join(sought, "h", "left_semi").select("part", F.lit(True).alias("found")).distinct())
+            found = self._index.parts_of(manifest["index"], incoming.select(F.xxhash64("message_key").alias("h")))
+            names = names.unionByName(found.select("part", F.lit(True).alias("found")))
         rows = names.limit(2 * MAX_PARTITIONS + 1).collect()
         if len(rows) > 2 * MAX_PARTITIONS:
             raise ValueError(f"more than {MAX_PARTITIONS} partitions; choose a coarser partition text")
         return {r.part for r in rows if r.found}, {r.part for r in rows if not r.found}
 
     def vacuum(self) -> int:
-        """Deletes partition versions that the manifest no longer names; returns how many."""
+        """Deletes partition and index versions that the manifest no longer names; returns how many."""
         manifest, gone = self._manifest(), 0
         for v in self.files.names(f"{self.path}/data"):
             for name in self.files.names(f"{self.path}/data/{v}"):
                 if name.startswith("part=") and f"v={manifest['parts'].get(name[5:])}" != v:
                     self.files.delete(f"{self.path}/data/{v}/{name}")
                     gone += 1
-        return gone
+        return gone + self._index.vacuum(manifest["index"])
