@@ -13,6 +13,7 @@ from ..operators import facts, marts, retrieval, scd
 from ..operators.merge import merge_current_state, merge_upsert, sync_snapshot
 from ..operators.quality import Rule, flag, load_rules, metrics, split, with_references
 from ..operators.standardize import deduplicate_latest, standardize
+from ..sources.derived import derived
 from ..sources.fs import written
 from ..sources.tables import spread, table
 from ..streaming.processor import late_split, replay_split
@@ -159,11 +160,12 @@ _STAR = {
 
 
 def star_dimension(spark, d, name: str) -> DataFrame:
-    return _dimension(spark, d, name, *_STAR[name])
+    """Written once: facts, marts and star queries meet the same table."""
+    return derived(spark, d, f"star-{name}", lambda: _dimension(spark, d, name, *_STAR[name]))
 
 
 def dim_supplier(spark, d):
-    return star_dimension(spark, d, "dim_supplier")
+    return _dimension(spark, d, "dim_supplier", *_STAR["dim_supplier"])
 
 
 def dim_promotion(spark, d):
@@ -244,40 +246,46 @@ def fact_customer_events(spark, d):
     return facts.build_fact("fact_customer_events", role(spark, d, "events"), _dimensions(spark, d, "dim_customer", "dim_product"))
 
 
+def fact(spark, d, name: str) -> DataFrame:
+    """A fact as a written table, shared by the aggregates, star queries and the reconciliation."""
+    makers = {f.__name__: f for f in (fact_sales, fact_order_items, fact_payments, fact_returns, fact_inventory_movements, fact_shipments, fact_customer_events)}
+    return derived(spark, d, name, lambda: makers[name](spark, d))
+
+
 # ---- aggregates --------------------------------------------------------------------------------
 
 
 def daily_store_sales(spark, d):
-    return marts.daily_store_sales(fact_sales(spark, d))
+    return marts.daily_store_sales(fact(spark, d, "fact_sales"))
 
 
 def daily_product_sales(spark, d):
-    return marts.daily_product_sales(fact_order_items(spark, d), fact_returns(spark, d))
+    return marts.daily_product_sales(fact(spark, d, "fact_order_items"), fact(spark, d, "fact_returns"))
 
 
 def channel_funnel(spark, d):
-    return marts.channel_funnel(fact_customer_events(spark, d))
+    return marts.channel_funnel(fact(spark, d, "fact_customer_events"))
 
 
 def inventory_health(spark, d):
-    return marts.inventory_health(inventory_snapshot(spark, d))
+    return marts.inventory_health(facts.inventory_snapshot(fact(spark, d, "fact_inventory_movements")))
 
 
 def supplier_performance(spark, d):
-    return marts.supplier_performance(fact_order_items(spark, d))
+    return marts.supplier_performance(fact(spark, d, "fact_order_items"))
 
 
 def promotion_performance(spark, d):
-    return marts.promotion_performance(fact_order_items(spark, d))
+    return marts.promotion_performance(fact(spark, d, "fact_order_items"))
 
 
 def retail_kpi_daily(spark, d):
-    return marts.kpi_daily(fact_sales(spark, d), fact_returns(spark, d))
+    return marts.kpi_daily(fact(spark, d, "fact_sales"), fact(spark, d, "fact_returns"))
 
 
 def retail_kpi_daily_certified(spark, d):
     """As retail_kpi_daily, without cancelled orders, as the KPI catalogue words it."""
-    return marts.kpi_daily(fact_sales(spark, d).where("order_status <> 'CANCELLED'"), fact_returns(spark, d))
+    return marts.kpi_daily(fact(spark, d, "fact_sales").where("order_status <> 'CANCELLED'"), fact(spark, d, "fact_returns"))
 
 
 def retail_kpi_monthly(spark, d):
@@ -293,10 +301,10 @@ def calendar_bounds(spark, d):
 
 def reconciliation(spark, d):
     return marts.reconcile([
-        ("fact_sales", role(spark, d, "orders"), fact_sales(spark, d), "net_amount", "net_amount"),
-        ("fact_order_items", role(spark, d, "lines"), fact_order_items(spark, d), "line_amount", "line_amount"),
-        ("fact_returns", role(spark, d, "returns"), fact_returns(spark, d), "refund_amount", "refund_amount"),
-        ("fact_customer_events", role(spark, d, "events"), fact_customer_events(spark, d), None, None),
+        ("fact_sales", role(spark, d, "orders"), fact(spark, d, "fact_sales"), "net_amount", "net_amount"),
+        ("fact_order_items", role(spark, d, "lines"), fact(spark, d, "fact_order_items"), "line_amount", "line_amount"),
+        ("fact_returns", role(spark, d, "returns"), fact(spark, d, "fact_returns"), "refund_amount", "refund_amount"),
+        ("fact_customer_events", role(spark, d, "events"), fact(spark, d, "fact_customer_events"), None, None),
     ])
 
 

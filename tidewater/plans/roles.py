@@ -1,12 +1,13 @@
 """The star-schema tables read as retail feeds: statements that both engines understand.
 
-Names in braces are tables. These only say which column plays which part; no operator is here.
+Names in braces are tables, {lines} and {placed} the roles of lines and orders. These only say which column plays which part; no operator is here.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.derived import derived
 from ..sources.tables import table
 
 LINES = """SELECT order_item_id, order_id, product_id, store_id, quantity, unit_price, discount_amount, CAST((unit_price - discount_amount) * tax_rate AS DECIMAL(18,2)) AS tax_amount,
@@ -17,27 +18,27 @@ LINES = """SELECT order_item_id, order_id, product_id, store_id, quantity, unit_
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC, l_discount DESC, l_tax DESC, l_returnflag DESC) AS rn FROM {lineitem}
       ) x LEFT JOIN {supplier} ON s_suppkey = l_suppkey WHERE rn = 1) y"""
 
-ORDERS = f"""SELECT order_id, customer_id, CASE WHEN channel = 'STORE' THEN nation END AS store_id, channel, order_status, order_timestamp, 'USD' AS currency, 'CARD' AS payment_method,
+ORDERS = """SELECT order_id, customer_id, CASE WHEN channel = 'STORE' THEN nation END AS store_id, channel, order_status, order_timestamp, 'USD' AS currency, 'CARD' AS payment_method,
   CAST(CASE WHEN gross < 50 THEN 5.99 ELSE 0 END AS DECIMAL(18,2)) AS shipping_amount, tax AS tax_amount, disc AS discount_amount, gross AS gross_amount,
   CAST(gross + tax - disc + CAST(CASE WHEN gross < 50 THEN 5.99 ELSE 0 END AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS net_amount, order_timestamp AS updated_at, CAST(1 AS BIGINT) AS order_count FROM (
     SELECT CAST(o_orderkey AS STRING) AS order_id, CAST(o_custkey AS STRING) AS customer_id, CAST(c_nationkey AS STRING) AS nation,
       CASE o_orderpriority WHEN '1-URGENT' THEN 'STORE' WHEN '2-HIGH' THEN 'WEB' WHEN '3-MEDIUM' THEN 'MOBILE' WHEN '4-NOT SPECIFIED' THEN 'MARKETPLACE' END AS channel,
       CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'SHIPPED' ELSE 'CANCELLED' END AS order_status, CAST(o_orderdate AS TIMESTAMP) AS order_timestamp,
       coalesce(g, CAST(0 AS DECIMAL(18,2))) AS gross, coalesce(ds, CAST(0 AS DECIMAL(18,2))) AS disc, coalesce(tx, CAST(0 AS DECIMAL(18,2))) AS tax
-    FROM {{orders}} LEFT JOIN {{customer}} ON c_custkey = o_custkey LEFT JOIN (
-      SELECT order_id AS oid, CAST(sum(unit_price) AS DECIMAL(18,2)) AS g, CAST(sum(discount_amount) AS DECIMAL(18,2)) AS ds, CAST(sum(tax_amount) AS DECIMAL(18,2)) AS tx FROM ({LINES}) l GROUP BY order_id) m
+    FROM {orders} LEFT JOIN {customer} ON c_custkey = o_custkey LEFT JOIN (
+      SELECT order_id AS oid, CAST(sum(unit_price) AS DECIMAL(18,2)) AS g, CAST(sum(discount_amount) AS DECIMAL(18,2)) AS ds, CAST(sum(tax_amount) AS DECIMAL(18,2)) AS tx FROM {lines} l GROUP BY order_id) m
     ON oid = CAST(o_orderkey AS STRING)) z"""
 
-RETURNS = f"""SELECT concat('R', order_item_id) AS return_id, order_id, order_item_id, CAST(NULL AS STRING) AS customer_id, product_id, 'CHANGED_MIND' AS return_reason, 'REFUNDED' AS return_status, 1 AS return_quantity,
-  CAST(unit_price - discount_amount AS DECIMAL(18,2)) AS refund_amount, shipped_at + INTERVAL 10 DAY AS return_timestamp FROM ({LINES}) l WHERE returned"""
+RETURNS = """SELECT concat('R', order_item_id) AS return_id, order_id, order_item_id, CAST(NULL AS STRING) AS customer_id, product_id, 'CHANGED_MIND' AS return_reason, 'REFUNDED' AS return_status, 1 AS return_quantity,
+  CAST(unit_price - discount_amount AS DECIMAL(18,2)) AS refund_amount, shipped_at + INTERVAL 10 DAY AS return_timestamp FROM {lines} l WHERE returned"""
 
-PAYMENTS = f"""SELECT concat('P', order_id) AS payment_id, order_id, CASE order_status WHEN 'COMPLETED' THEN 'CAPTURED' WHEN 'SHIPPED' THEN 'PENDING' ELSE 'REFUNDED' END AS payment_status, payment_method,
-  net_amount AS payment_amount, concat('T', order_id) AS transaction_reference, order_timestamp + INTERVAL 1 HOUR AS payment_timestamp FROM ({ORDERS}) o"""
+PAYMENTS = """SELECT concat('P', order_id) AS payment_id, order_id, CASE order_status WHEN 'COMPLETED' THEN 'CAPTURED' WHEN 'SHIPPED' THEN 'PENDING' ELSE 'REFUNDED' END AS payment_status, payment_method,
+  net_amount AS payment_amount, concat('T', order_id) AS transaction_reference, order_timestamp + INTERVAL 1 HOUR AS payment_timestamp FROM {placed} o"""
 
-SHIPMENTS = f"""SELECT concat('S', order_id) AS shipment_id, order_id, 'ROAD' AS carrier, 'DELIVERED' AS shipment_status, min(shipped_at) AS shipped_timestamp, min(shipped_at) + INTERVAL 5 DAY AS expected_delivery_timestamp,
-  max(shipped_at) AS delivered_timestamp, CAST(count(*) AS DECIMAL(18,2)) AS shipping_cost FROM ({LINES}) l GROUP BY order_id"""
+SHIPMENTS = """SELECT concat('S', order_id) AS shipment_id, order_id, 'ROAD' AS carrier, 'DELIVERED' AS shipment_status, min(shipped_at) AS shipped_timestamp, min(shipped_at) + INTERVAL 5 DAY AS expected_delivery_timestamp,
+  max(shipped_at) AS delivered_timestamp, CAST(count(*) AS DECIMAL(18,2)) AS shipping_cost FROM {lines} l GROUP BY order_id"""
 
-INVENTORY = f"""SELECT order_item_id AS inventory_event_id, product_id, store_id, 'COUNT' AS event_type, -quantity AS quantity_change, quantity % 10 AS quantity_on_hand, 3 AS reorder_level, shipped_at AS event_timestamp, 'WMS' AS source_system FROM ({LINES}) l"""
+INVENTORY = """SELECT order_item_id AS inventory_event_id, product_id, store_id, 'COUNT' AS event_type, -quantity AS quantity_change, quantity % 10 AS quantity_on_hand, 3 AS reorder_level, shipped_at AS event_timestamp, 'WMS' AS source_system FROM {lines} l"""
 
 EVENTS = """SELECT CAST(event_id AS STRING) AS event_id, concat(CAST(user_id AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING)) AS session_id, CAST(user_id AS STRING) AS customer_id,
   CASE event_type WHEN 'view' THEN 'PRODUCT_VIEW' WHEN 'click' THEN 'ADD_TO_CART' WHEN 'purchase' THEN 'PURCHASE' ELSE 'SEARCH' END AS event_type, CAST(event_id % 200 + 1 AS STRING) AS product_id,
@@ -59,10 +60,21 @@ ROLES = {
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+#: Roles that others are made of, and tables that take a pass over all lines: written once per folder.
+SHARED = ("lines", "orders", "products", "returns")
+
+
 def role(spark: SparkSession, d: str, name: str) -> DataFrame:
-    text = ROLES[name]
-    return spark.sql(text, **{t: table(spark, d, t) for t in TABLES if "{" + t + "}" in text})
+    def make() -> DataFrame:
+        text = ROLES[name]
+        needs = {t: table(spark, d, t) for t in TABLES if "{" + t + "}" in text}
+        needs |= {p: role(spark, d, r) for p, r in (("lines", "lines"), ("placed", "orders")) if "{" + p + "}" in text}
+        return spark.sql(text, **needs)
+
+    return derived(spark, d, f"role-{name}", make) if name in SHARED else make()
 
 
 def role_sql(name: str) -> str:
-    return ROLES[name].format(**{t: t for t in TABLES})
+    text = ROLES[name]
+    needs = {t: t for t in TABLES} | {p: f"({role_sql(r)})" for p, r in (("lines", "lines"), ("placed", "orders")) if "{" + p + "}" in text}
+    return text.format(**needs)

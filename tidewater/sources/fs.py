@@ -30,6 +30,15 @@ class Files:
         p, fs = self._at(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
+    def fingerprint(self, path: str) -> int:
+        """Hash of the names, sizes and times of what lies directly in a folder, and one level below."""
+        p, fs = self._at(path)
+        found = []
+        for s in fs.listStatus(p):
+            inside = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+            found += [(str(x.getPath()), x.getLen(), x.getModificationTime()) for x in inside]
+        return hash(tuple(sorted(found)))
+
     def rename(self, source: str, target: str) -> None:
         """Atomic where the file system's rename is; replaces an existing target file."""
         s, fs = self._at(source)
