@@ -87,7 +87,7 @@ def with_special_members(dimension: DataFrame, name: str, business_key: str, key
 
 
 def date_dimension(spark, first: date, last: date) -> DataFrame:
-    """A row per day from ``first`` to ``last``, and rows 0 (Unknown) and -1 (Not Applicable)."""
+    """A row per day from ``first`` to ``last``, and rows 0 (Unknown) and -1 (Not Applicable) without any part of a date."""
     if last < first:
         raise ValueError("the calendar ends before it begins")
     d = F.col("full_date")
@@ -96,7 +96,7 @@ def date_dimension(spark, first: date, last: date) -> DataFrame:
         F.date_format(d, "yyyyMMdd").cast("int").alias("date_key"), d, F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"), F.date_format(d, "MMMM").alias("month_name"),
         F.weekofyear(d).alias("week_of_year"), F.dayofmonth(d).alias("day_of_month"), F.date_format(d, "EEEE").alias("day_name"), F.dayofweek(d).isin(1, 7).alias("is_weekend"),
     )
-    special = [(0, None, 0, 0, 0, "Unknown", 0, 0, "Unknown", False), (-1, None, 0, 0, 0, "Not Applicable", 0, 0, "Not Applicable", False)]
+    special = [(key, None, None, None, None, name, None, None, name, None) for key, name in ((0, "Unknown"), (-1, "Not Applicable"))]
     loose = T.StructType([T.StructField(f.name, f.dataType, True) for f in days.schema.fields])
     return days.unionByName(spark.createDataFrame(special, loose))
 
@@ -131,6 +131,8 @@ def resolve_key(facts: DataFrame, dimension: DataFrame, name: str, fact_key: str
         F.col(business_key).alias("__bk"), F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"), F.col("surrogate_key").alias("__sk")
     )
     moment = facts[at]
-    joined = facts.join(held, (facts[fact_key] == F.col("__bk")) & (moment >= F.col("__from")) & (F.col("__to").isNull() | (moment <= F.col("__to"))), "left")
+    # Rows without a key match nothing; a text of their own spreads them over all partitions of the join.
+    sought = F.coalesce(facts[fact_key].cast("string"), F.concat(F.lit("\0"), F.xxhash64(*facts.columns).cast("string")))
+    joined = facts.join(held, (sought == F.col("__bk").cast("string")) & (moment >= F.col("__from")) & (F.col("__to").isNull() | (moment <= F.col("__to"))), "left")
     key = F.when(F.col(fact_key).isNull(), F.lit(member_key(name, NOT_APPLICABLE))).otherwise(F.coalesce("__sk", F.lit(member_key(name, UNKNOWN))))
     return joined.withColumn(out, key).drop("__bk", "__from", "__to", "__sk")

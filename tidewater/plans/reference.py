@@ -103,10 +103,27 @@ def dq_reference_exists(spark, d):
 
 def dq_reference_comparison(spark, d):
     rules = [r for r in load_rules(RULES, "returns") if r.kind == "reference_comparison"]
-    rows, plain = with_references(role(spark, d, "returns").withColumn("return_quantity", F.lit(2)), rules, {"order_items": role(spark, d, "lines")})
+    rows, plain = with_references(role(spark, d, "returns"), rules, {"order_items": role(spark, d, "lines")})
     return _failed(flag(rows, plain), "return_id")
 
 
+def dq_all_rules(spark, d):
+    """Every rule of the catalogue over all typed rows of its dataset, one pass per dataset."""
+    stand_in = {
+        "suppliers": lambda: role(spark, d, "suppliers"), "returns": lambda: role(spark, d, "returns"), "shipments": lambda: role(spark, d, "shipments"),
+        "promotions": lambda: role(spark, d, "promotions").withColumn("discount_amount", F.lit(0).cast("decimal(18,2)")),
+    }
+    out = None
+    for name in dict.fromkeys(r[1] for r in RULES):
+        rules = load_rules(RULES, name)
+        rows = silver(spark, d, name) if name in RETAIL else stand_in[name]()
+        looked_up = {r.reference[0]: role(spark, d, "lines") if r.reference[0] == "order_items" else silver(spark, d, r.reference[0]) for r in rules if r.reference}
+        rows, plain = with_references(rows, rules, looked_up)
+        one = metrics(flag(rows, plain), plain)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 ALL_KINDS = ("not_null", "regex", "accepted_values", "range", "consistency", "reference_exists", "reference_comparison")
 
 
@@ -465,7 +482,7 @@ QUERIES = {
     f.__name__.removesuffix("_query"): f
     for f in (
         retail_kpi_daily, retail_kpi_daily_certified, retail_kpi_monthly, silver_standardize, mask_pii, channel_key_lookup, dedup_latest, dedup_audit,
-        dq_not_null, dq_regex, dq_accepted_values, dq_range, dq_consistency, dq_reference_exists, dq_reference_comparison, dq_metrics, dq_quarantine,
+        dq_not_null, dq_regex, dq_accepted_values, dq_range, dq_consistency, dq_reference_exists, dq_reference_comparison, dq_all_rules, dq_metrics, dq_quarantine,
         scd2_history, dim_customer, dim_product, dim_supplier, dim_store, dim_promotion, dim_channel, dim_date, dim_channel_inline, scd_point_in_time,
         order_item_base, promotion_attribution, fact_sales, fact_order_items, fact_payments, fact_returns, fact_inventory_movements, inventory_snapshot, fact_shipments, fact_customer_events,
         daily_store_sales, daily_product_sales, channel_funnel, inventory_health, supplier_performance, promotion_performance, calendar_bounds, reconciliation, kpi_catalog,

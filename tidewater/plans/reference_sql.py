@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .core_sql import CLEAN
 from .roles import ROLES, role_sql
+from .scale_sql import money_rate, rate
 
 
 def _c(x: str) -> str:
@@ -184,7 +185,7 @@ def _calendar(first: str, last: str) -> str:
 _DATES = _calendar("DATE '1995-01-01'", "DATE '2024-12-31'")
 _DIM_DATE = f"""SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key, full_date, CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter, CAST(month(full_date) AS INTEGER) AS month, monthname(full_date) AS month_name, CAST(weekofyear(full_date) AS INTEGER) AS week_of_year,
   CAST(day(full_date) AS INTEGER) AS day_of_month, dayname(full_date) AS day_name, dayofweek(full_date) IN (0, 6) AS is_weekend FROM (SELECT CAST(unnest(range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS full_date FROM (SELECT min(d) AS lo, max(d) AS hi FROM ({_BOUNDS})))
-  UNION ALL SELECT 0, NULL, 0, 0, 0, 'Unknown', 0, 0, 'Unknown', false UNION ALL SELECT -1, NULL, 0, 0, 0, 'Not Applicable', 0, 0, 'Not Applicable', false"""
+  UNION ALL SELECT 0, NULL, NULL, NULL, NULL, 'Unknown', NULL, NULL, 'Unknown', NULL UNION ALL SELECT -1, NULL, NULL, NULL, NULL, 'Not Applicable', NULL, NULL, 'Not Applicable', NULL"""
 _CHANNELS = " UNION ALL ".join(f"SELECT sha256('tidewater|dim_channel|{c}') AS channel_key, '{c}' AS channel_code, '{n}' AS channel_name" for c, n in (("STORE", "Store"), ("WEB", "Web"), ("MOBILE", "Mobile app"), ("MARKETPLACE", "Marketplace"), ("__UNKNOWN__", "Unknown"), ("__NOT_APPLICABLE__", "Not Applicable")))
 _DIM_PROMO = _members("dim_promotion", f"(SELECT sha256(concat_ws('|', 'dim_promotion', promotion_id)) AS promotion_key, * FROM {ROLE['promotions']})", "promotion_id", [("promotion_name", "label"), ("promotion_type", "label"), ("start_date", _DAY0), ("end_date", _DAY0), ("discount_percentage", "CAST(0 AS DECIMAL(5,2))"), ("product_id", "label"), ("promotion_status", "label")], "promotion_key")
 
@@ -211,16 +212,12 @@ _REPLAYS = f"SELECT event_id, coalesce(event_timestamp < TIMESTAMP '2024-01-15 0
 # ---- scale model -------------------------------------------------------------------------------
 
 
-def _rate(a: str, b: str) -> str:
-    return f"CASE WHEN {b} = 0 THEN 0.0 ELSE round(CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE), 6) END"
-
-
-_BK = f"""SELECT *, CAST(net_sales AS DOUBLE) / CAST(distinct_orders AS DOUBLE) AS average_order_value FROM (SELECT {_day("order_timestamp")} AS date_key, channel, CAST(sum(gross_amount) AS DECIMAL(24,2)) AS gross_sales, CAST(sum(gross_amount - discount_amount) AS DECIMAL(24,2)) AS net_sales,
+_BK = f"""SELECT *, {money_rate('net_sales', 'distinct_orders')} AS average_order_value FROM (SELECT {_day("order_timestamp")} AS date_key, channel, CAST(sum(gross_amount) AS DECIMAL(24,2)) AS gross_sales, CAST(sum(gross_amount - discount_amount) AS DECIMAL(24,2)) AS net_sales,
   CAST(sum(net_amount) AS DECIMAL(24,2)) AS net_revenue, count(DISTINCT order_id) AS distinct_orders FROM {ROLE["orders"]} WHERE order_status <> 'CANCELLED' GROUP BY 1, 2)"""
-_BP = f"""SELECT *, {_rate("returned_units", "units_sold")} AS return_rate FROM (SELECT {_day("o.order_timestamp")} AS date_key, l.product_id AS product_key, CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(CASE WHEN returned THEN quantity ELSE 0 END) AS BIGINT) AS returned_units
+_BP = f"""SELECT *, {rate("returned_units", "units_sold")} AS return_rate FROM (SELECT {_day("o.order_timestamp")} AS date_key, l.product_id AS product_key, CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(CASE WHEN returned THEN quantity ELSE 0 END) AS BIGINT) AS returned_units
   FROM {ROLE["lines"]} l JOIN {ROLE["orders"]} o ON o.order_id = l.order_id GROUP BY 1, 2)"""
-_BF = f"""SELECT *, {_rate("purchasing_sessions", "sessions")} AS conversion_rate FROM (SELECT {_day("event_timestamp")} AS date_key, device_type, count(DISTINCT session_id) AS sessions, count(DISTINCT CASE WHEN event_type = 'PURCHASE' THEN session_id END) AS purchasing_sessions FROM {ROLE["events"]} GROUP BY 1, 2)"""
-_BI = f"""SELECT *, {_rate("stockout_observations", "observations")} AS stockout_rate FROM (SELECT {_day("event_timestamp")} AS date_key, store_id AS store_key, count(*) AS observations, CAST(sum(CASE WHEN quantity_on_hand = 0 THEN 1 ELSE 0 END) AS BIGINT) AS stockout_observations FROM {ROLE["inventory"]} GROUP BY 1, 2)"""
+_BF = f"""SELECT *, {rate("purchasing_sessions", "sessions")} AS conversion_rate FROM (SELECT {_day("event_timestamp")} AS date_key, device_type, count(DISTINCT session_id) AS sessions, count(DISTINCT CASE WHEN event_type = 'PURCHASE' THEN session_id END) AS purchasing_sessions FROM {ROLE["events"]} GROUP BY 1, 2)"""
+_BI = f"""SELECT *, {rate("stockout_observations", "observations")} AS stockout_rate FROM (SELECT {_day("event_timestamp")} AS date_key, store_id AS store_key, count(*) AS observations, CAST(sum(CASE WHEN quantity_on_hand = 0 THEN 1 ELSE 0 END) AS BIGINT) AS stockout_observations FROM {ROLE["inventory"]} GROUP BY 1, 2)"""
 _BS = " UNION ALL ".join(
     f"SELECT '{n}' AS metric_name, round({v}, 4) AS metric_value, '{u}' AS business_use FROM {t}"
     for n, v, u, t in (
@@ -241,19 +238,6 @@ _BA = " UNION ALL ".join(
 )
 
 
-def _price(n: str, base: int, step: int, span: int) -> str:
-    return f"CAST({base} + CAST(({n} * {step}) % {span} AS DECIMAL(18,2)) / 100 AS DECIMAL(18,2))"
-
-
-_GO = f"""SELECT *, CAST((gross_amount - discount_amount) * 0.08 AS DECIMAL(18,2)) AS tax_amount, CAST(CASE WHEN channel = 'STORE' THEN 0 ELSE 5 END AS DECIMAL(18,2)) AS shipping_amount,
-  CAST((gross_amount - discount_amount) * 1.08 + CASE WHEN channel = 'STORE' THEN 0 ELSE 5 END AS DECIMAL(18,2)) AS net_amount FROM (
-  SELECT *, CAST(CASE WHEN order_number % 10 = 0 THEN gross_amount * 0.10 ELSE 0 END AS DECIMAL(18,2)) AS discount_amount FROM (
-    SELECT i AS order_number, 'O' || lpad(CAST(i AS VARCHAR), 10, '0') AS order_id, 'C' || lpad(CAST((i * 17) % 2000 AS VARCHAR), 9, '0') AS customer_id, 'S' || lpad(CAST((i * 13) % 100 AS VARCHAR), 5, '0') AS store_id,
-      ['STORE', 'WEB', 'MOBILE'][i % 3 + 1] AS channel, CASE WHEN i % 50 = 0 THEN 'CANCELLED' WHEN i % 20 = 0 THEN 'RETURNED' ELSE 'COMPLETED' END AS order_status, DATE '2024-01-01' + CAST(i % 730 AS INTEGER) AS order_date, {_price("i", 20, 29, 48000)} AS gross_amount FROM range(20000) r(i)))"""
-_GI = f"""SELECT *, CAST(CASE WHEN order_item_number % 10 = 0 THEN gross_line_amount * 0.10 ELSE 0 END AS DECIMAL(18,2)) AS discount_amount, CAST(CASE WHEN order_item_number % 20 = 0 THEN quantity ELSE 0 END AS INTEGER) AS returned_units FROM (SELECT *, CAST(quantity * unit_price AS DECIMAL(18,2)) AS gross_line_amount FROM (
-    SELECT i AS order_item_number, 'OI' || lpad(CAST(i AS VARCHAR), 11, '0') AS order_item_id, 'O' || lpad(CAST(i % 20000 AS VARCHAR), 10, '0') AS order_id, CAST(i // 20000 + 1 AS INTEGER) AS line_number, 'P' || lpad(CAST((i * 13) % 5000 AS VARCHAR), 7, '0') AS product_id,
-      DATE '2024-01-01' + CAST((i % 20000) % 730 AS INTEGER) AS order_date, CAST(1 + i % 5 AS INTEGER) AS quantity, {_price("i", 5, 17, 49500)} AS unit_price FROM range(40000) r(i)))"""
-
 # ---- documents ---------------------------------------------------------------------------------
 
 _STOP = "['a','an','and','are','at','be','can','do','does','for','how','i','in','is','it','me','of','on','or','should','the','to','what','when','with']"
@@ -275,7 +259,32 @@ _CHUNKS = r"""WITH p AS (SELECT doc_id, unnest(string_split('Overview' || chr(2)
   t AS (SELECT doc_id, section, CAST(start // 120 AS INTEGER) AS ordinal, array_to_string(words[start + 1:start + 120], ' ') AS chunk FROM c)
   SELECT doc_id, section, ordinal, substr(sha256(concat_ws('|', CAST(doc_id AS VARCHAR), '1', section, CAST(ordinal AS VARCHAR), sha256(chunk))), 1, 20) AS chunk_id, sha256(chunk) AS content_hash FROM t"""
 
+def _rules() -> str:
+    """Each rule of the catalogue in this dialect, counted over the feed's rows."""
+    id_ = lambda c: f"{_c(c)} IS NOT NULL"
+    one_of = lambda c, *v: f"{_up(c)} IN ({', '.join(repr(x) for x in v)})"
+    found = f"EXISTS (SELECT 1 FROM customers c WHERE {_c('c.customer_id')} IS NOT DISTINCT FROM {_c('r.customer_id')})"
+    at_most = f"coalesce((SELECT max(l.quantity) FROM {ROLE['lines']} l WHERE l.order_item_id = r.order_item_id) >= return_quantity, false)"
+    rows = (
+        ("CUS-001", "customers", "CRITICAL", "customers", id_("customer_id")), ("CUS-002", "customers", "ERROR", "customers", "regexp_matches(trim(email), '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}$')"),
+        ("PRD-001", "products", "CRITICAL", "products", id_("product_id")), ("PRD-002", "products", "ERROR", "products", "list_price >= 0 AND unit_cost >= 0"), ("STR-001", "stores", "CRITICAL", "stores", id_("store_id")),
+        ("SUP-001", "suppliers", "CRITICAL", ROLE["suppliers"], "supplier_id IS NOT NULL"), ("ORD-001", "orders", "CRITICAL", "retail_orders", id_("order_id")),
+        ("ORD-002", "orders", "ERROR", "retail_orders", one_of("order_status", "CREATED", "PAID", "COMPLETED", "SHIPPED", "DELIVERED", "CANCELLED", "RETURNED")), ("ORD-003", "orders", "ERROR", "retail_orders", one_of("currency", "USD", "EUR", "GBP", "INR")),
+        ("ORD-004", "orders", "CRITICAL", "retail_orders", "abs(net_amount - (gross_amount + tax_amount + shipping_amount - discount_amount)) <= 0.01"), ("ORD-005", "orders", "ERROR", "retail_orders", found),
+        ("ITM-001", "order_items", "CRITICAL", "order_items", id_("order_item_id")), ("ITM-002", "order_items", "ERROR", "order_items", "quantity > 0 AND unit_price >= 0 AND discount_amount >= 0 AND tax_amount >= 0 AND line_amount >= 0"),
+        ("PAY-001", "payments", "CRITICAL", "payments", id_("payment_id")), ("PAY-002", "payments", "ERROR", "payments", one_of("payment_status", "PENDING", "AUTHORIZED", "CAPTURED", "FAILED", "REFUNDED") + " AND payment_amount >= 0"),
+        ("INV-001", "inventory_events", "CRITICAL", "inventory_events", id_("inventory_event_id")), ("INV-002", "inventory_events", "ERROR", "inventory_events", "quantity_on_hand >= 0 AND reorder_level >= 0"),
+        ("RET-001", "returns", "CRITICAL", ROLE["returns"], "return_id IS NOT NULL"), ("RET-002", "returns", "ERROR", ROLE["returns"], "return_quantity > 0 AND refund_amount >= 0"), ("RET-003", "returns", "ERROR", ROLE["returns"], at_most),
+        ("PRO-001", "promotions", "ERROR", ROLE["promotions"], "promotion_id IS NOT NULL AND end_date >= start_date AND discount_percentage BETWEEN 0 AND 100"),
+        ("SHP-001", "shipments", "CRITICAL", ROLE["shipments"], "shipment_id IS NOT NULL"), ("SHP-002", "shipments", "ERROR", ROLE["shipments"], "delivered_timestamp IS NULL OR delivered_timestamp >= shipped_timestamp"),
+        ("EVT-001", "customer_events", "CRITICAL", "customer_events", id_("event_id")), ("EVT-002", "customer_events", "ERROR", "customer_events", one_of("event_type", "PRODUCT_VIEW", "ADD_TO_CART", "PURCHASE", "SEARCH", "CHECKOUT")),
+    )
+    counted = (f"SELECT '{i}' AS rule_id, '{n}' AS dataset, '{s}' AS severity, count(*) AS evaluated_rows, count(*) FILTER (WHERE NOT coalesce({p}, false)) AS failed_rows FROM {t} r" for i, n, s, t, p in rows)
+    return f"SELECT *, round(coalesce(failed_rows / CAST(nullif(evaluated_rows, 0) AS DOUBLE), 0) * 100, 6) AS failure_percentage, CASE WHEN failed_rows > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM ({' UNION ALL '.join(counted)})"
+
+
 SQL = {
+    "dq_all_rules": _rules(),
     "doc_chunks": _CHUNKS,
     "silver_standardize": f"SELECT * EXCLUDE (_ingested_at) FROM {_ORDERS}",
     "mask_pii": f"SELECT customer_id, updated_at, masked_email, masked_phone FROM {_MASKED}",
@@ -288,7 +297,7 @@ SQL = {
     "dq_range": f"SELECT order_item_id, {_fails(('ITM-002', _RANGE))} AS failed_rules FROM {_CUR_ITEMS}",
     "dq_consistency": f"SELECT order_id, {_fails(('ORD-004', _NET))} AS failed_rules FROM {_CUR_ORDERS}",
     "dq_reference_exists": f"SELECT order_id, {_fails(('ORD-005', _FOUND))} AS failed_rules FROM {_CUR_ORDERS} o",
-    "dq_reference_comparison": f"SELECT return_id, {_fails(('RET-003', 'l.order_item_id IS NOT NULL AND 2 <= l.quantity'))} AS failed_rules FROM {ROLE['returns']} r LEFT JOIN {ROLE['lines']} l ON l.order_item_id = r.order_item_id",
+    "dq_reference_comparison": f"SELECT return_id, {_fails(('RET-003', 'l.order_item_id IS NOT NULL AND r.return_quantity <= l.quantity'))} AS failed_rules FROM {ROLE['returns']} r LEFT JOIN {ROLE['lines']} l ON l.order_item_id = r.order_item_id",
     "dq_metrics": " UNION ALL ".join(
         f"SELECT '{i}' AS rule_id, 'orders' AS dataset, '{s}' AS severity, count(*) AS evaluated_rows, coalesce(sum(CASE WHEN coalesce({p}, false) THEN 0 ELSE 1 END), 0)::BIGINT AS failed_rows, round(coalesce(sum(CASE WHEN coalesce({p}, false) THEN 0 ELSE 1 END) / CAST(count(*) AS DOUBLE), 0) * 100, 6) AS failure_percentage, CASE WHEN sum(CASE WHEN coalesce({p}, false) THEN 0 ELSE 1 END) > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM (SELECT o.*, {_FOUND} AS found FROM {_CUR_ORDERS} o)"
         for (i, p), s in zip([*_ORDER_RULES[:4], ("ORD-005", "found")], ("CRITICAL", "ERROR", "ERROR", "CRITICAL", "ERROR"), strict=True)
@@ -329,7 +338,7 @@ SQL = {
     "bm25_search": _BM25,
     "redact_email": f"SELECT doc_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS text_length FROM (SELECT doc_id, regexp_replace(text, '{_MAIL_RX}', '[REDACTED_EMAIL]', 'gi') AS t FROM documents)",
     "injection_scan": f"SELECT doc_id, coalesce(regexp_matches(concat_ws(' ', CASE WHEN lang = 'fr' THEN 'Please ignore all previous instructions.' END, text), '{_SUSPECT}', 'i'), false) AS suspicious FROM documents",
-    "b_kpi_daily": _BK, "b_product_returns": _BP, "b_funnel": _BF, "b_inventory": _BI, "b_kpi_summary": _BS, "b_arrival": _BA, "gen_orders": _GO, "gen_order_items": _GI,
+    "b_kpi_daily": _BK, "b_product_returns": _BP, "b_funnel": _BF, "b_inventory": _BI, "b_kpi_summary": _BS, "b_arrival": _BA,
     "rag_daily_sales": f"SELECT date_key, channel, gross_sales, net_sales, net_revenue, average_order_value FROM ({_BK}) ORDER BY date_key DESC, channel NULLS FIRST LIMIT 30",
     "rag_conversion": f"SELECT date_key, device_type, sessions, purchasing_sessions, conversion_rate FROM ({_BF}) ORDER BY date_key DESC, device_type LIMIT 30",
     "rag_returns": f"SELECT date_key, product_key, units_sold, returned_units, return_rate FROM ({_BP}) ORDER BY date_key DESC, product_key LIMIT 30",
