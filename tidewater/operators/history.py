@@ -106,21 +106,28 @@ def merge_history(stored: DataFrame | None, dimension: DataFrame | None, incomin
     observations. Versions of keys that are not named pass through. Replays change nothing, and any
     split of a feed into deliveries ends in the same dimension as one delivery of everything.
 
-    ``heads`` (see :func:`heads_of`) and ``late`` keys may be given where they are kept beside the
-    store, so that stored observations are read for late keys only.
+    ``heads`` (see :func:`heads_of`) may be given where they are kept beside the store, and with them
+    the ``late`` keys, None for none; stored observations are then read for late keys only.
     """
     if stored is None or dimension is None:
         none = incoming.limit(0)
         opened, _ = _follow(heads_of(none), incoming, target_rows)
         return incoming, opened
-    heads = heads_of(stored.join(incoming.select("business_key").distinct(), "business_key", "left_semi")) if heads is None else heads
-    late = _late_keys(heads, incoming) if late is None else late
-    opened, closes = _follow(heads, incoming.join(late, "business_key", "left_anti"), target_rows)
-    own = latest_observation(stored.join(late, "business_key", "left_semi").select(*incoming.columns).unionByName(incoming.join(late, "business_key", "left_semi").select(*incoming.columns)))
-    kept = dimension.join(late, "business_key", "left_anti").join(closes, "business_key", "left")
+    if heads is None:
+        heads = heads_of(stored.join(incoming.select("business_key").distinct(), "business_key", "left_semi"))
+        late = _late_keys(heads, incoming)
+    rebuilt = None
+    if late is not None:
+        named = lambda rows: rows.join(late, "business_key", "left_semi").select(*incoming.columns)
+        rebuilt = versions(latest_observation(named(stored).unionByName(named(incoming))), target_rows)
+        dimension = dimension.join(late, "business_key", "left_anti")
+    in_order = incoming if late is None else incoming.join(late, "business_key", "left_anti")
+    opened, closes = _follow(heads, in_order, target_rows)
+    kept = dimension.join(closes, "business_key", "left")
     shut = F.col("is_current") & F.col("closed_at").isNotNull()
     kept = kept.withColumns({"valid_to_us": F.when(shut, F.col("closed_at")).otherwise(F.col("valid_to_us")), "is_current": F.col("is_current") & ~shut}).drop("closed_at")
-    return latest_observation(stored.select(*incoming.columns).unionByName(incoming)), kept.unionByName(opened).unionByName(versions(own, target_rows))
+    out = kept.unionByName(opened)
+    return latest_observation(stored.select(*incoming.columns).unionByName(incoming)), out if rebuilt is None else out.unionByName(rebuilt)
 
 
 class HistoryStore:
@@ -173,9 +180,11 @@ class HistoryStore:
             heads = self._read(old, "heads", [f"{self.path}/heads/v={old['current'][b]}/bucket={b}" for b in held])
             before = self._read(old, "dimension", [f"{self.path}/dimension/v={old['current'][b]}/bucket={b}" for b in held])
             late = written(_late_keys(heads, came), "history-late")
-            places = [f"{self.path}/observed/v={v}/bucket={b}" for b in held for v in old["observed"].get(b, [])]
-            stored = self._read(old, "observed", places if not late.isEmpty() else [])
-            _, dimension = merge_history(stored, before, came, self.target, heads, late)
+            if late.isEmpty():  # all in order: nothing stored is read again
+                _, dimension = merge_history(came.limit(0), before, came, self.target, heads, None)
+            else:
+                places = [f"{self.path}/observed/v={v}/bucket={b}" for b in held for v in old["observed"].get(b, [])]
+                _, dimension = merge_history(self._read(old, "observed", places), before, came, self.target, heads, late)
             heads = heads_of(heads.unionByName(came.select(*heads.columns)))
         schemas |= {"dimension": dimension.schema.jsonValue(), "heads": heads.schema.jsonValue()}
         self._write(heads, "heads", version)

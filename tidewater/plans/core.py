@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import clean, is_removal, micros
@@ -88,9 +88,11 @@ DIMENSIONS = {
 }
 
 
-def dimension_observations(spark: SparkSession, d: str, dim: str) -> DataFrame:
+def dimension_observations(spark: SparkSession, d: str, dim: str, delivered: Column | None = None) -> DataFrame:
+    """Observations of a dimension's feed, or of those of its rows for which ``delivered`` holds."""
     name, key, tracked = DIMENSIONS[dim]
     t = table(spark, d, name)
+    t = t if delivered is None else t.where(delivered)
     kinds = dict(t.dtypes)
     cols = {c: clean(c) if kinds[c] == "string" else F.col(c) for c in tracked}
     return history.observations(t, clean(key), micros("updated_at"), micros("_ingested_at"), is_removal("cdc_operation"), cols)
@@ -102,13 +104,12 @@ MERGE_CUT = "2025-03-01 00:00:00"
 
 def _dimension(spark: SparkSession, d: str, dim: str) -> DataFrame:
     """The dimension after two deliveries are merged, early and late by arrival."""
-    rows = dimension_observations(spark, d, dim)
-    late = F.coalesce(F.col("delivered_us") >= F.unix_micros(F.lit(MERGE_CUT).cast("timestamp")), F.lit(False))
+    late = F.coalesce(F.col("_ingested_at") >= F.lit(MERGE_CUT).cast("timestamp_ntz"), F.lit(False))
     store = history.HistoryStore(spark, scratch(spark, f"p2-{dim}"))
-    store.deliver(rows.where(~late))
-    store.deliver(rows.where(late))
+    for part in (~late, late):
+        store.deliver(dimension_observations(spark, d, dim, part))
     kept = store.read()
-    return history.versions(rows.limit(0)) if kept is None else kept
+    return history.versions(dimension_observations(spark, d, dim).limit(0)) if kept is None else kept
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
