@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import CONTRACTS, RULES
+from ..contracts import CONTRACTS, KPIS, RULES
 from ..operators import facts, marts, scd
 from ..operators.merge import merge_current_state, merge_upsert, sync_snapshot
 from ..operators.quality import enforce, flag, load_rules, metrics, split, with_references
@@ -91,6 +91,74 @@ def run_gold(store: SnapshotStore, dimensions: dict[str, DataFrame], orders: Dat
     return result
 
 
+def gold_sources(silver: dict[str, DataFrame], promotions: DataFrame) -> dict[str, tuple[DataFrame, str, str | None]]:
+    """Per fact: its source rows with all that the fact looks up, their key, and the amount that must reconcile."""
+    orders = silver["orders"]
+    context = lambda name, at: facts.with_order_context(silver[name], orders, at)
+    lines = facts.order_lines(silver["order_items"], orders, silver["products"])
+    late = {"delivery_days": F.datediff("delivered_timestamp", "shipped_timestamp"), "delivery_variance_days": F.datediff("delivered_timestamp", "expected_delivery_timestamp")}
+    return {
+        "fact_sales": (orders, "order_id", "net_amount"),
+        "fact_order_items": (facts.attribute_promotion(lines, promotions, "order_item_id", "order_timestamp"), "order_item_id", "line_amount"),
+        "fact_payments": (context("payments", "payment_timestamp"), "payment_id", "payment_amount"),
+        "fact_returns": (context("returns", "return_timestamp"), "return_id", "refund_amount"),
+        "fact_inventory_movements": (silver["inventory_events"], "inventory_event_id", None),
+        "fact_shipments": (context("shipments", "shipped_timestamp").withColumns(late), "shipment_id", "shipping_cost"),
+        "fact_customer_events": (silver["customer_events"], "event_id", None),
+    }
+
+
+def publish_gold(store: SnapshotStore, dimensions: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
+    """Publishes all dimensions, facts, aggregates and KPIs; returns the reconciliation of this run.
+
+    ``silver`` has orders, order_items, products, payments, returns, shipments, promotions,
+    inventory_events and customer_events; ``dimensions`` the four type-two ones. Facts are written
+    aside and checked against their sources first, so a FAIL raises before anything that readers see
+    has changed. Facts are synchronised by key, aggregates formed anew from the published facts.
+    """
+    spark = store.spark
+    for name, dim in (dimensions | {"dim_promotion": scd.promotion_dimension(silver["promotions"]), "dim_channel": scd.channel_dimension(spark)}).items():
+        store.write(f"staged_{name}", dim)
+    held = {n: store.read(f"staged_{n}") for n in dimensions}
+    sources = gold_sources(silver, store.read("staged_dim_promotion"))
+    checks = []
+    for name, (rows, _, amount) in sources.items():
+        store.write(f"staged_{name}", facts.build_fact(name, rows, held))
+        checks.append((name, rows, store.read(f"staged_{name}"), amount, amount))
+    store.write("reconciliation", marts.reconcile(checks))
+    result = store.read("reconciliation")
+    if failed := [r.check_name for r in result.where("status = 'FAIL'").collect()]:  # one row per check
+        raise RuntimeError(f"does not reconcile: {', '.join(failed)}")
+    for name in (*dimensions, "dim_promotion", "dim_channel"):
+        store.write(name, store.read(f"staged_{name}"))
+    for name, (_, key, _) in sources.items():
+        store.write(name, sync_snapshot(store.read(name), store.read(f"staged_{name}"), [key], check=False))
+    fact = {n: store.read(n) for n in sources}
+    times = [("fact_sales", "order_timestamp"), ("fact_payments", "payment_timestamp"), ("fact_returns", "return_timestamp"), ("fact_shipments", "delivered_timestamp"), ("fact_inventory_movements", "event_timestamp"), ("fact_customer_events", "event_timestamp")]
+    bounds = marts.calendar_bounds(*[fact[n].select(at) for n, at in times]).first()  # one row of two days
+    if bounds["first_date"]:
+        store.write("dim_date", scd.date_dimension(spark, bounds["first_date"], bounds["last_date"]))
+    store.write("fact_inventory_snapshot", facts.inventory_snapshot(fact["fact_inventory_movements"]))
+    store.write("agg_daily_store_sales", marts.daily_store_sales(fact["fact_sales"]))
+    store.write("agg_daily_product_sales", marts.daily_product_sales(fact["fact_order_items"], fact["fact_returns"]))
+    store.write("agg_channel_funnel", marts.channel_funnel(fact["fact_customer_events"]))
+    store.write("agg_inventory_health", marts.inventory_health(store.read("fact_inventory_snapshot")))
+    store.write("agg_supplier_performance", marts.supplier_performance(fact["fact_order_items"]))
+    store.write("agg_promotion_performance", marts.promotion_performance(fact["fact_order_items"]))
+    store.write("retail_kpi_daily", marts.kpi_daily(fact["fact_sales"], fact["fact_returns"]))
+    store.write("retail_kpi_monthly", marts.kpi_monthly(store.read("retail_kpi_daily")))
+    store.write("kpi_catalog", spark.createDataFrame([(n, ",".join(g), t, m) for n, g, t, m in KPIS], "kpi string, grain string, source string, meaning string"))
+    return result
+
+
+#: What publish_gold leaves behind.
+PUBLISHED = (
+    "dim_customer", "dim_product", "dim_store", "dim_supplier", "dim_promotion", "dim_channel", "dim_date", "fact_sales", "fact_order_items", "fact_payments", "fact_returns", "fact_inventory_movements", "fact_shipments",
+    "fact_customer_events", "fact_inventory_snapshot", "agg_daily_store_sales", "agg_daily_product_sales", "agg_channel_funnel", "agg_inventory_health", "agg_supplier_performance", "agg_promotion_performance",
+    "retail_kpi_daily", "retail_kpi_monthly", "kpi_catalog",
+)
+
+
 def record_run(store: SnapshotStore, run_id: str, status: str, counts: dict[str, int]) -> None:
     """One row per run in pipeline_runs; running a stage again replaces its row."""
     row = store.spark.createDataFrame([(run_id, status, sum(counts.values()), ",".join(f"{k}={v}" for k, v in sorted(counts.items())))], "run_id string, status string, total_rows bigint, detail string").withColumn("completed_at", F.current_timestamp())

@@ -14,10 +14,11 @@ from ..operators.merge import merge_current_state, merge_upsert, sync_snapshot
 from ..operators.quality import Rule, flag, load_rules, metrics, split, with_references
 from ..operators.standardize import deduplicate_latest, standardize
 from ..sources.derived import derived
-from ..sources.fs import written
+from ..sources.fs import scratch, written
+from ..sources.store import SnapshotStore
 from ..sources.tables import spread, table
 from ..streaming.processor import late_split, replay_split
-from . import model_b
+from . import model_b, pipeline
 from .roles import role
 
 SPECIAL = (UNKNOWN, NOT_APPLICABLE)
@@ -329,6 +330,20 @@ def kpi_catalog(spark, d):
     return spark.createDataFrame([(n, ",".join(g), t, m) for n, g, t, m in KPIS], "kpi string, grain string, source string, meaning string")
 
 
+def gold_pipeline(spark, d):
+    """Rows of every table that one run of the gold pipeline publishes."""
+    store = SnapshotStore(spark, scratch(spark, "gold"))
+    names = {"orders": "orders", "order_items": "lines", "products": "products", "payments": "payments", "returns": "returns", "shipments": "shipments", "promotions": "promotions", "inventory_events": "inventory", "customer_events": "events"}
+    silver_rows = {n: role(spark, d, r) for n, r in names.items()}
+    silver_rows["order_items"] = silver_rows["order_items"].drop("store_id")
+    pipeline.publish_gold(store, _dimensions(spark, d, "dim_customer", "dim_product", "dim_store", "dim_supplier"), silver_rows)
+    out = None
+    for n in pipeline.PUBLISHED:
+        one = store.read(n).agg(F.count(F.lit(1)).alias("published_rows")).select(F.lit(n).alias("table_name"), "published_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---- merges ------------------------------------------------------------------------------------
 
 
@@ -485,7 +500,7 @@ QUERIES = {
         dq_not_null, dq_regex, dq_accepted_values, dq_range, dq_consistency, dq_reference_exists, dq_reference_comparison, dq_all_rules, dq_metrics, dq_quarantine,
         scd2_history, dim_customer, dim_product, dim_supplier, dim_store, dim_promotion, dim_channel, dim_date, dim_channel_inline, scd_point_in_time,
         order_item_base, promotion_attribution, fact_sales, fact_order_items, fact_payments, fact_returns, fact_inventory_movements, inventory_snapshot, fact_shipments, fact_customer_events,
-        daily_store_sales, daily_product_sales, channel_funnel, inventory_health, supplier_performance, promotion_performance, calendar_bounds, reconciliation, kpi_catalog,
+        daily_store_sales, daily_product_sales, channel_funnel, inventory_health, supplier_performance, promotion_performance, calendar_bounds, reconciliation, kpi_catalog, gold_pipeline,
         merge_current_state_query, merge_upsert_query, sync_snapshot_query, late_event_split, replay_split_query, stream_reconciliation,
         star_sales, topk_products, star_inventory, star_funnel, star_promotion, star_supplier, doc_chunks, tokenize_terms, bm25_search, bm25_search_rows, bm25_index, redact_email, injection_scan,
     )

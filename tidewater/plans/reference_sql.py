@@ -346,3 +346,13 @@ SQL = {
     "rag_arrival": f"SELECT layer, object_name, expected_rows, actual_rows, arrival_status FROM ({_BA}) ORDER BY layer, object_name LIMIT 50",
     "rag_kpi_summary": f"SELECT metric_name, metric_value, business_use FROM ({_BS}) ORDER BY metric_name LIMIT 20",
 }
+
+_COUNTED = {n: SQL[q] for n, q in (
+    ("dim_supplier", "dim_supplier"), ("dim_promotion", "dim_promotion"), ("dim_channel", "dim_channel"), ("dim_date", "dim_date"), ("fact_sales", "fact_sales"), ("fact_order_items", "fact_order_items"),
+    ("fact_payments", "fact_payments"), ("fact_returns", "fact_returns"), ("fact_inventory_movements", "fact_inventory_movements"), ("fact_shipments", "fact_shipments"), ("fact_customer_events", "fact_customer_events"),
+    ("fact_inventory_snapshot", "inventory_snapshot"), ("agg_daily_store_sales", "daily_store_sales"), ("agg_daily_product_sales", "daily_product_sales"), ("agg_channel_funnel", "channel_funnel"), ("agg_inventory_health", "inventory_health"),
+    ("agg_supplier_performance", "supplier_performance"), ("agg_promotion_performance", "promotion_performance"), ("retail_kpi_daily", "retail_kpi_daily"), ("retail_kpi_monthly", "retail_kpi_monthly"), ("kpi_catalog", "kpi_catalog"),
+)}
+SQL["gold_pipeline"] = " UNION ALL ".join(
+    [f"SELECT '{n}' AS table_name, count(*) + 2 AS published_rows FROM {v}" for n, v in (("dim_customer", _VC), ("dim_product", _VP), ("dim_store", _VT))] + [f"SELECT '{n}', count(*) FROM ({q})" for n, q in _COUNTED.items()]
+)
