@@ -469,6 +469,23 @@ def bm25_search(spark, d):
     return retrieval.search(docs, "doc_id", F.col("text"), QUESTION, top_k=50).withColumnRenamed("chunk_id", "doc_id")
 
 
+#: Who may read a document, by its source; all others are internal.
+CLASSES = {"SUPPLIER_MAIL": "restricted", "RUNBOOK": "public", "POLICY_FAQ": "public"}
+READABLE = ("public", "internal")
+
+
+def chunk_search(spark, d):
+    """The question asked of all chunks, with the section each lies in; restricted documents count in the statistics but are not shown."""
+    source, access = clean("source"), F.lit("internal")
+    for name, kind in CLASSES.items():
+        access = F.when(source == name, kind).otherwise(access)
+    docs = spread(table(spark, d, "documents").select("doc_id", "text", access.alias("security_class")))
+    parts = retrieval.chunks(docs, "doc_id", "text", keep=["security_class"])
+    parts = parts.withColumn("place", F.struct("chunk_id", "doc_id", "section", "security_class"))
+    found = retrieval.search(parts, "place", F.col("chunk"), QUESTION, top_k=50, minimum=0.2, allowed=F.col("security_class").isin(*READABLE))
+    return found.select("chunk_id.*", "score").select("doc_id", "section", "security_class", "chunk_id", "score")
+
+
 def bm25_search_rows(spark, d):
     """Every document whose id is divisible by 20 is a query against all documents, itself included."""
     docs = _texts(spark, d).where("text IS NOT NULL")
@@ -502,6 +519,6 @@ QUERIES = {
         order_item_base, promotion_attribution, fact_sales, fact_order_items, fact_payments, fact_returns, fact_inventory_movements, inventory_snapshot, fact_shipments, fact_customer_events,
         daily_store_sales, daily_product_sales, channel_funnel, inventory_health, supplier_performance, promotion_performance, calendar_bounds, reconciliation, kpi_catalog, gold_pipeline,
         merge_current_state_query, merge_upsert_query, sync_snapshot_query, late_event_split, replay_split_query, stream_reconciliation,
-        star_sales, topk_products, star_inventory, star_funnel, star_promotion, star_supplier, doc_chunks, tokenize_terms, bm25_search, bm25_search_rows, bm25_index, redact_email, injection_scan,
+        star_sales, topk_products, star_inventory, star_funnel, star_promotion, star_supplier, doc_chunks, tokenize_terms, bm25_search, chunk_search, bm25_search_rows, bm25_index, redact_email, injection_scan,
     )
 } | model_b.QUERIES

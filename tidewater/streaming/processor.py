@@ -61,7 +61,7 @@ class StreamProcessor:
         before = self.store.pointer(self.state) or {"batch": -1, "version": 0, "parts": {}, "index": [], "watermark_us": None, "schema": None}
         if before["batch"] >= batch_id:
             return self._token(f"audit_{name}", token).first().asDict()
-        raw = standardize(batch, c)
+        raw = standardize(batch.drop("_event_time"), c)
         raw = raw.withColumn("_raw_id", F.sha2(F.concat_ws("|", F.lit(name), *[F.coalesce(k, F.lit("<NULL>")) for k in keys], "_silver_record_hash"), 256))
         # The batch is written once; every later step reads the written rows.
         self.store.append_once(f"raw_{name}", raw.withColumn("_stream_batch", F.lit(batch_id)), token)

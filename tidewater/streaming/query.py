@@ -35,5 +35,8 @@ def start(spark: SparkSession, config: StreamConfig, process: Callable[[DataFram
     text = ", ".join(f"`{n}` string" for n, _ in contract.columns)
     rows = spark.readStream.schema(text).option("maxFilesPerTrigger", config.max_files).json(config.source)
     rows = rows.withColumns({"_source_file_path": F.col("_metadata.file_path"), "_source_file_name": F.col("_metadata.file_name"), "_ingested_at": F.col("_metadata.file_modification_time")})
+    # The watermark bounds what Spark itself may keep; lateness is judged by the processor, row by row.
+    event_time = F.col(contract.event_time).try_cast("timestamp").alias("_event_time")
+    rows = rows.select("*", event_time).withWatermark("_event_time", f"{config.lateness_hours} hours")
     writer = rows.writeStream.foreachBatch(lambda df, n: process(df, n) and None).option("checkpointLocation", config.checkpoint)
     return (writer.trigger(processingTime=f"{config.processing_seconds} seconds") if config.processing_seconds else writer.trigger(availableNow=True)).start()
