@@ -15,6 +15,7 @@ from ..operators.quality import Rule, flag, load_rules, metrics, split, with_ref
 from ..operators.standardize import deduplicate_latest, standardize
 from ..sources.derived import derived
 from ..sources.fs import scratch, written
+from ..sources.generate import generate
 from ..sources.store import SnapshotStore
 from ..sources.tables import spread, table
 from ..streaming.processor import late_split, replay_split
@@ -344,6 +345,22 @@ def gold_pipeline(spark, d):
     return out
 
 
+def gen_feeds(spark, d):
+    """The generated feeds (twelve, default sizes) as the rules and checks see them: rows and defects found in each."""
+    feeds = generate(spark)
+    out = None
+    for name, rows in feeds.items():
+        rules = load_rules(RULES, name)
+        checked, plain = with_references(rows, rules, feeds)
+        bad = flag(checked, plain).where("size(_failed_rule_ids) > 0").agg(F.count(F.lit(1)).alias("failing_rows"))
+        key = CONTRACTS[name].keys[0]
+        drift = F.count("unexpected_field") if "unexpected_field" in rows.columns else F.lit(0).cast("bigint")
+        sizes = rows.agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("repeated_keys"), drift.alias("unexpected_fields"))
+        one = sizes.withColumn("dataset", F.lit(name)).join(bad.withColumn("dataset", F.lit(name)), "dataset").select("dataset", "repeated_keys", "failing_rows", "unexpected_fields")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---- merges ------------------------------------------------------------------------------------
 
 
@@ -517,7 +534,7 @@ QUERIES = {
         dq_not_null, dq_regex, dq_accepted_values, dq_range, dq_consistency, dq_reference_exists, dq_reference_comparison, dq_all_rules, dq_metrics, dq_quarantine,
         scd2_history, dim_customer, dim_product, dim_supplier, dim_store, dim_promotion, dim_channel, dim_date, dim_channel_inline, scd_point_in_time,
         order_item_base, promotion_attribution, fact_sales, fact_order_items, fact_payments, fact_returns, fact_inventory_movements, inventory_snapshot, fact_shipments, fact_customer_events,
-        daily_store_sales, daily_product_sales, channel_funnel, inventory_health, supplier_performance, promotion_performance, calendar_bounds, reconciliation, kpi_catalog, gold_pipeline,
+        daily_store_sales, daily_product_sales, channel_funnel, inventory_health, supplier_performance, promotion_performance, calendar_bounds, reconciliation, kpi_catalog, gold_pipeline, gen_feeds,
         merge_current_state_query, merge_upsert_query, sync_snapshot_query, late_event_split, replay_split_query, stream_reconciliation,
         star_sales, topk_products, star_inventory, star_funnel, star_promotion, star_supplier, doc_chunks, tokenize_terms, bm25_search, chunk_search, bm25_search_rows, bm25_index, redact_email, injection_scan,
     )

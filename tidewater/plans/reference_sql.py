@@ -366,3 +366,7 @@ _COUNTED = {n: SQL[q] for n, q in (
 SQL["gold_pipeline"] = " UNION ALL ".join(
     [f"SELECT '{n}' AS table_name, count(*) + 2 AS published_rows FROM {v}" for n, v in (("dim_customer", _VC), ("dim_product", _VP), ("dim_store", _VT))] + [f"SELECT '{n}', count(*) FROM ({q})" for n, q in _COUNTED.items()]
 )
+
+#: What the generator is told to break, and the line of which -2 were sold and 999 came back.
+_BROKEN = {"customers": (1, 1, 0), "products": (0, 1, 0), "orders": (0, 3, 0), "order_items": (0, 1, 0), "payments": (0, 1, 0), "inventory_events": (0, 1, 0), "returns": (0, 1, 0), "shipments": (0, 1, 0), "customer_events": (1, 0, 1), "stores": (0, 0, 0), "suppliers": (0, 0, 0), "promotions": (0, 0, 0)}
+SQL["gen_feeds"] = " UNION ALL ".join(f"SELECT '{n}' AS dataset, CAST({a} AS BIGINT) AS repeated_keys, CAST({b} AS BIGINT) AS failing_rows, CAST({c} AS BIGINT) AS unexpected_fields" for n, (a, b, c) in _BROKEN.items())
