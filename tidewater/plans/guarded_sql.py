@@ -143,9 +143,40 @@ class Router:
         return Answer(" ".join(f"{text} [{i}]" for i, text in found[:2]), "documents", citations=[str(i) for i, _ in found])
 
 
+def _money(v: object) -> str:
+    return f"{v:,.2f}" if isinstance(v, float) or hasattr(v, "quantize") else str(v)
+
+
+def _arrivals(rows: list[dict]) -> str:
+    there = sum(r.get("arrival_status") == "ARRIVED" for r in rows)
+    return f"{there} of {len(rows)} checks have ARRIVED" + ("; all data is there." if there == len(rows) else "; the others are listed below.")
+
+
+def _latest_sales(rows: list[dict]) -> str:
+    day = max(r["date_key"] for r in rows)
+    each = (f"{r['channel']} net sales {_money(r['net_sales'])} at {_money(r['average_order_value'])} an order" for r in rows if r["date_key"] == day)
+    return f"On {day}: " + "; ".join(each) + "."
+
+
+def _extremes(what: str, of: str):
+    def tell(rows: list[dict]) -> str:
+        known = [r for r in rows if r.get(of) is not None]
+        top = f", from {min(r[of] for r in known)} to {max(r[of] for r in known)}" if known else ""
+        return f"{len(rows)} rows of the {what}{top}."
+
+    return tell
+
+
+_TOLD = {
+    "data_arrival": _arrivals, "daily_sales": _latest_sales, "kpi_summary": lambda rows: f"{len(rows)} KPIs: " + "; ".join(f"{r['metric_name']} {_money(r['metric_value'])}" for r in rows) + ".",
+    "conversion_rate": _extremes("conversion rate by day and device", "conversion_rate"), "product_returns": _extremes("return rate by day and product", "return_rate"), "inventory_health": _extremes("stockout rate by day and store", "stockout_rate"),
+}
+
+
 def present(name: str, rows: list[dict]) -> str:
-    """One line per answer: the number of rows and the first of them, money with two digits."""
+    """One line per answer, told as its template asks; money with two digits."""
     if not rows:
         return f"{name}: no rows."
-    show = lambda v: f"{v:,.2f}" if isinstance(v, float) or hasattr(v, "quantize") else str(v)
-    return f"{name}: {len(rows)} rows; first: " + ", ".join(f"{k} {show(v)}" for k, v in rows[0].items())
+    if name in _TOLD:
+        return _TOLD[name](rows)
+    return f"{name}: {len(rows)} rows; first: " + ", ".join(f"{k} {_money(v)}" for k, v in rows[0].items())

@@ -30,6 +30,27 @@ class Files:
         p, fs = self._at(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
+    def size(self, path: str) -> int | None:
+        """Bytes of a file; None if there is no such file."""
+        p, fs = self._at(path)
+        return fs.getFileStatus(p).getLen() if fs.exists(p) and not fs.getFileStatus(p).isDirectory() else None
+
+    def sha256(self, path: str) -> str:
+        p, fs = self._at(path)
+        stream = fs.open(p)
+        try:
+            return self._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+        finally:
+            stream.close()
+
+    def copy(self, source: str, target: str) -> None:
+        """Copies a file between any two file systems; readers see the target whole or not at all."""
+        s, from_fs = self._at(source)
+        aside = f"{target}.{uuid.uuid4().hex}"
+        t, to_fs = self._at(aside)
+        self._jvm.org.apache.hadoop.fs.FileUtil.copy(from_fs, s, to_fs, t, False, self._conf)
+        self.rename(aside, target)
+
     def fingerprint(self, path: str) -> int:
         """Hash of the names, sizes and times of what lies directly in a folder, and one level below."""
         p, fs = self._at(path)
