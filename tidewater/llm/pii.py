@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -35,6 +36,7 @@ def redact(text: str, found: list[tuple[str, int, int]]) -> str:
 
 def _finder(field: Field):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.set_threshold(100_000)  # many small tuples, no cycles
         for batch in batches:
             rows: list[int] = []
             found: list[tuple[str, int, int]] = []
@@ -54,6 +56,7 @@ def _finder(field: Field):
 
 def _redactor(field: Field):
     def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.set_threshold(100_000)
         for batch in batches:
             texts, counts = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():

@@ -18,7 +18,7 @@ import sys
 from collections import defaultdict
 from dataclasses import dataclass, field
 
-from .pii_lexer import Token, lex
+from .pii_lexer import Token, lex_rows
 
 O, B, I = 0, 1, 2  # noqa: E741
 NEVER = -1e9
@@ -61,21 +61,21 @@ def shape_features(p2: str, p1: str, kind: str, n1: str) -> list[str]:
 
 def skip_key(t: Token) -> str | None:
     """Distant tokens with one key are linked: words by their text without case, numbers by digits."""
-    if t.kind == "word":
-        return t.text.lower() if len(t.text) > 2 else None
-    if t.kind.startswith(("doc", "phone")):
-        return "".join(ch for ch in t.text.lower() if ch.isalnum())
-    return t.text.lower() if t.kind.startswith(("addr", "email")) else None
+    if t[2] == "word":
+        return t[3].lower() if len(t[3]) > 2 else None
+    if t[2].startswith(("doc", "phone")):
+        return "".join(ch for ch in t[3].lower() if ch.isalnum())
+    return t[3].lower() if t[2].startswith(("addr", "email")) else None
 
 
 def before(tokens: list[Token], i: int) -> int:
     """The token a name could continue from: the word before, over one hyphen, full stop, comma or apostrophe."""
     j = i - 1
-    if j >= 0 and tokens[j].kind == "mark" and tokens[j].text in "-.,'’":
-        if tokens[j].text == "." and (not j or len(tokens[j - 1].text) > 2):
+    if j >= 0 and tokens[j][2] == "mark" and tokens[j][3] in "-.,'’":
+        if tokens[j][3] == "." and (not j or len(tokens[j - 1][3]) > 2):
             return -1
         j -= 1
-    return j if j >= 0 and tokens[j].kind == "word" and tokens[i].kind == "word" else -1
+    return j if j >= 0 and tokens[j][2] == "word" and tokens[i][2] == "word" else -1
 
 
 def candidates(tokens: list[Token], seen: list[Seen]) -> list[int]:
@@ -84,7 +84,7 @@ def candidates(tokens: list[Token], seen: list[Seen]) -> list[int]:
     n = len(tokens)
     for i, (norm, c) in enumerate(seen):
         if c == "-":
-            if tokens[i].kind not in _CONTEXT:
+            if tokens[i][2] not in _CONTEXT:
                 out.append(i)
         elif c != "low" or norm == "<low>":
             if norm != "<title>":
@@ -108,7 +108,7 @@ def links(tokens: list[Token], nodes: list[int]) -> tuple[list[int], list[tuple[
         key = skip_key(tokens[i])
         if key is None:
             continue
-        for near in (key, key[:-1]) if tokens[i].kind == "word" and len(key) > 5 and key.endswith("s") else (key,):
+        for near in (key, key[:-1]) if tokens[i][2] == "word" and len(key) > 5 and key.endswith("s") else (key,):
             if near in last:
                 skips.append((last[near], k))
         last[key] = k
@@ -168,7 +168,7 @@ class Field:
         return got
 
     def score(self, kind: str, p2: Seen, p1: Seen, own: Seen, n1: Seen, n2: Seen) -> tuple[float, float]:
-        key = (kind, p2[0], p1, own, n1, n2[0])
+        key = (kind, p2, p1, own, n1, n2)
         got = self._scores.get(key)
         if got is None:
             names = word_features(p2[0], p1[0], p1[1], own[0], own[1], n1[0], n1[1], n2[0]) if kind == "word" else shape_features(p2[0], p1[0], kind, n1[0])
@@ -188,14 +188,14 @@ class Field:
         seen = [(views.get(t[3]) or view(t)) if t[2] in _OWN_TEXT else kinds[t[2]] for t in tokens]
         nodes = candidates(tokens, seen)
         padded = [_PAD, _PAD, *seen, _PAD, _PAD]
-        scores = []
-        for i in nodes:
-            p2, p1, own, n1, n2 = padded[i : i + 5]
-            kind = tokens[i][2]
-            scores.append(known_scores.get((kind, p2[0], p1, own, n1, n2[0])) or score(kind, p2, p1, own, n1, n2))
+        # Scores go with what is seen, and that repeats: a dictionary answers most of them.
+        around = [(tokens[i][2], padded[i], padded[i + 1], padded[i + 2], padded[i + 3], padded[i + 4]) for i in nodes]
+        scores = [known_scores.get(x) or score(*x) for x in around]
         # Only what could be personal in the best surroundings, or has such a mention elsewhere, needs messages.
         begin, inside, floor = self._bounds()
         hopes = [b + begin > floor or n + inside > floor for b, n in scores]
+        if True not in hopes:
+            return Graph([], [], [], [])
         keys = {skip_key(tokens[i]) for i, h in zip(nodes, hopes, strict=True) if h} - {None}
         keys |= {f"{k}s" for k in keys} | {k[:-1] for k in keys if k.endswith("s")}
         kept = [k for k, i in enumerate(nodes) if hopes[k] or (keys and skip_key(tokens[i]) in keys)]
@@ -359,7 +359,7 @@ class Field:
 
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
         """(start, end, kind of the first token, text), in order, not overlapping."""
-        tokens = lex(text)
+        tokens = lex_rows(text)
         g = self.graph(tokens)
         out: list[list] = []
         states = [max(range(3), key=m.__getitem__) for m in self.marginals(g)]
@@ -368,10 +368,10 @@ class Field:
             if states[k] == O:
                 continue
             if states[k] == I and out and g.chain[k] >= 0 and states[g.chain[k]] != O and out[-1][3] == g.chain[k]:
-                out[-1][1], out[-1][3] = t.end, k
+                out[-1][1], out[-1][3] = t[1], k
             else:
-                out.append([t.start, t.end, t.kind, k])
-        out += [[tokens[i].start, tokens[i].end, tokens[i].kind, -1] for i in g.sure]
+                out.append([t[0], t[1], t[2], k])
+        out += [[tokens[i][0], tokens[i][1], tokens[i][2], -1] for i in g.sure]
         out.sort(key=lambda x: x[0])
         return [(s, stop := _stop(text, s, e, kind), kind, text[s:stop]) for s, e, kind, _ in out]
 

@@ -11,6 +11,8 @@ one (a digit, an at sign, a street word), so plain prose pays for no shape.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 from typing import NamedTuple
 
 _BLANKS = "     "
@@ -69,7 +71,7 @@ _STREET = re.compile("|".join(rf"(?P<addr_{n}>(?<![\w,/\-#])(?<!\d\.){p})" for n
 _MAIL = re.compile(rf"(?<![\w.%+\-@]){EMAIL}(?![\w\-])(?!\.[A-Za-z]{{2,}})", re.IGNORECASE)
 _URL = re.compile(r"(?:https?://|www\.)[^\s<>\"]+", re.IGNORECASE)
 _CODE = re.compile(r"[A-Za-z]+[\w\-]*\d[\w\-]*|\d[\d.,:/\-]*\d|\d")
-_RUN = re.compile(r"[^\W\d_]+|\d\w*|\n|[^\s\w]|_")
+_RUN = re.compile(r"[^\W\d_]+|\d\w*|\n|[^\S\n]+|[^\s\w]|_")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+\-]+\Z")
 # ---- fixed values: what a German or Spanish street begins or ends with ------------------------
 _DE_END = ("straße", "strasse", "str", "gasse", "weg", "allee", "platz", "ufer", "damm", "ring", "markt", "kamp", "graben", "steig")
@@ -106,81 +108,122 @@ def _mail(text: str, at: int, done: int) -> re.Match | None:
     return found if found and found.end() > at else None
 
 
-_STREET_WORD, _MAIL_WORD, _URL_WORD, _SHORT, _PLAIN = 1, 2, 3, 4, 0
+# What a run of characters is: its kind as a token, and from _STREET_WORD on also what it may begin.
+_BLANK, _WORD, _MARK, _LINE, _STREET_WORD, _MAIL_WORD, _URL_WORD, _SHORT, _DIGITS, _AT_SIGN, _OPENS, _JOINS = range(12)
+_KINDS = ("", "word", "mark", "line", "word", "word", "word", "word", "number", "mark", "mark", "mark")
+_WORDS = frozenset((_WORD, _STREET_WORD, _MAIL_WORD, _URL_WORD, _SHORT))
 _SEEN: dict[str, int] = {}
 
 
-def _role(word: str) -> int:
-    """What a word may begin besides itself; cached, since texts repeat most words."""
-    low = word.lower()
-    if low in ("at", "arroba"):
-        got = _MAIL_WORD
-    elif low in ("http", "https", "www"):
-        got = _URL_WORD
-    elif low in _ES_BEGIN or low in _DE_BEGIN or low.endswith(_DE_END):
-        got = _STREET_WORD
+def _role(run: str) -> int:
+    """What a run is; cached, since texts repeat most of them."""
+    head = run[0]
+    if head.isalpha():
+        low = run.lower()
+        if low in ("at", "arroba"):
+            got = _MAIL_WORD
+        elif low in ("http", "https", "www"):
+            got = _URL_WORD
+        elif low in _ES_BEGIN or low in _DE_BEGIN or low.endswith(_DE_END):
+            got = _STREET_WORD
+        else:
+            got = _SHORT if len(run) <= 2 else _WORD
+    elif head.isdigit() and head.isdecimal():
+        got = _DIGITS
+    elif head == "\n":
+        got = _LINE
+    elif head.isspace():
+        got = _BLANK
     else:
-        got = _SHORT if len(word) <= 2 else _PLAIN
-    if len(_SEEN) > 200_000:
+        got = _AT_SIGN if head == "@" else _OPENS if head in "+(" else _JOINS if head in "-_" else _WORD if head.isalnum() else _MARK
+    if len(_SEEN) > 300_000:
         _SEEN.clear()
-    _SEEN[word] = got
+    _SEEN[run] = got
     return got
 
 
-def lex(text: str) -> list[Token]:
-    """All tokens in order; a shape is one token, and no token overlaps another."""
-    out: list[Token] = []
-    add, new, seen, number, size = out.append, tuple.__new__, _SEEN, _NUMBER.match, len(text)
-    done = 0  # everything before is in a token
-    for m in _RUN.finditer(text):
-        start, end = m.span()
-        if start < done:
+def _word_shape(text: str, start: int, end: int, role: int) -> re.Match | None:
+    """The shape that begins with a word."""
+    found = None
+    if role == _STREET_WORD:
+        found = _STREET.match(text, start)
+    elif role == _MAIL_WORD:
+        found = _mail(text, start, 0) if start and text[start - 1] in " ([{" else None
+    elif role == _URL_WORD:
+        found = _URL.match(text, start)
+    if found is None and end - start <= 2 and end < len(text) and (text[end].isdigit() or (text[end] in _SEPARATES and text[end + 1 : end + 2].isdigit())):
+        found = _NUMBER.match(text, start)
+    if found is None and end < len(text) and text[end] in _GLUED and not (start and (text[start - 1].isalnum() or text[start - 1] == "_")):
+        found = _CODE.match(text, start)
+    return found
+
+
+def _kind(found: re.Match) -> str:
+    return found.lastgroup or ("url" if found.re is _URL else "code" if found.re is _CODE else "email")
+
+
+def _shapes(text: str, runs: list[str], starts: list[int], roles: list[int]) -> list[tuple[int, int, str]]:
+    """(begin, end, kind) of all shapes, in order; tried only where a run can begin one."""
+    out: list[tuple[int, int, str]] = []
+    done = 0
+    for j, role in enumerate(roles):
+        if role < _STREET_WORD:
             continue
-        run = text[start:end]
-        head, found = run[0], None
-        if head.isalpha():
-            kind, role = "word", seen.get(run)
-            if role is None:
-                role = _role(run)
-            if role:
-                if role == _STREET_WORD:
-                    found = _STREET.match(text, start)
-                elif role == _MAIL_WORD:
-                    found = _mail(text, start, 0) if start and text[start - 1] in " ([{" else None
-                elif role == _URL_WORD:
-                    found = _URL.match(text, start)
-                if found is None and end - start <= 2 and end < size and (text[end].isdigit() or (text[end] in _SEPARATES and text[end + 1 : end + 2].isdigit())):
-                    found = number(text, start)
-            if found is None and end < size and text[end] in _GLUED and (code := _CODE.match(text, start)):
-                if not start or not (text[start - 1].isalnum() or text[start - 1] == "_"):
-                    add(new(Token, (start, code.end(), "code", code.group())))
-                    done = code.end()
-                    continue
-        elif head.isdigit():
-            found = number(text, start)
-            if found is None:
-                plain = _CODE.match(text, start)
-                end = plain.end() if plain else end
-                add(new(Token, (start, end, "number", text[start:end])))
-                done = end
+        start, found, kind = starts[j], None, None
+        if j and (role == _DIGITS or role == _JOINS) and roles[j - 1] == _WORD and starts[j - 1] >= done:
+            # A word with something glued to it begins before this run.
+            found = _word_shape(text, starts[j - 1], start, _WORD)
+        if found is None:
+            if start < done:
                 continue
-        elif head == "\n":
-            kind = "line"
-        else:
-            kind = "mark"
-            if head == "@":
+            if role == _DIGITS:
+                found = _NUMBER.match(text, start)
+                if found is None:
+                    found, kind = _CODE.match(text, start), "number"
+                    if found is None:
+                        continue
+            elif role == _AT_SIGN:
                 found = _mail(text, start, 0)
-            elif head in "+(":
-                found = number(text, start)
-        if found is None:
-            add(new(Token, (start, end, kind, run)))
+            elif role == _OPENS:
+                found = _NUMBER.match(text, start)
+            elif role != _JOINS:
+                found = _word_shape(text, start, start + len(runs[j]), role)
+        if found is not None:
+            begin, end = found.span()
+            while out and out[-1][0] >= begin:  # the local part of an address may hold several runs
+                out.pop()
+            if out and out[-1][1] > begin:  # it begins inside another shape, which ends there
+                out[-1] = (out[-1][0], begin, out[-1][2])
+            out.append((begin, end, kind or _kind(found)))
             done = end
-            continue
-        begin, done = found.span()
-        while out and out[-1].start >= begin:  # the local part of an address may hold several runs
-            out.pop()
-        if out and out[-1].end > begin:  # it begins inside a token
-            last = out.pop()
-            add(new(Token, (last.start, begin, last.kind, text[last.start : begin])))
-        add(new(Token, (begin, done, found.lastgroup or ("url" if found.re is _URL else "email"), found.group())))
     return out
+
+
+def lex_rows(text: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, text) of all tokens in order; a shape is one token, and no token overlaps another."""
+    runs = _RUN.findall(text)
+    starts = list(accumulate(map(len, runs), initial=0))[:-1]
+    get = _SEEN.get
+    roles = [get(r) for r in runs]
+    if None in roles:
+        roles = [_role(r) if x is None else x for r, x in zip(runs, roles, strict=True)]
+    out: list[tuple[int, int, str, str]] = []
+    at = 0
+
+    def plain(low: int, high: int) -> None:
+        out.extend([(s, s + len(r), _KINDS[x], r) for s, r, x in zip(starts[low:high], runs[low:high], roles[low:high], strict=True) if x])
+
+    for begin, end, kind in _shapes(text, runs, starts, roles):
+        first = bisect_left(starts, begin, at)
+        plain(at, first)
+        if out and out[-1][1] > begin:
+            s, _, k, _ = out.pop()
+            out.append((s, begin, k, text[s:begin]))
+        out.append((begin, end, kind, text[begin:end]))
+        at = bisect_left(starts, end, first)
+    plain(at, len(runs))
+    return out
+
+
+def lex(text: str) -> list[Token]:
+    return [Token(*t) for t in lex_rows(text)]
