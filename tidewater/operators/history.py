@@ -139,7 +139,7 @@ class HistoryStore:
     run again. Single writer.
     """
 
-    BUCKETS = 64
+    BUCKETS = 16
 
     def __init__(self, spark: SparkSession, path: str, target_rows: int = TARGET_ROWS):
         self.spark, self.path, self.files, self.target = spark, path.rstrip("/"), Files(spark), target_rows

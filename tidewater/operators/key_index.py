@@ -16,7 +16,7 @@ class KeyIndex:
     costs a read and changes no result.
     """
 
-    BUCKETS = 256
+    BUCKETS = 16
     COMPACT_AFTER = 16
 
     def __init__(self, spark: SparkSession, path: str):

@@ -314,7 +314,7 @@ def b_arrival(spark, d):
     for layer, name, source, actual in (
         ("bronze", "orders", orders, o), ("bronze", "order_items", lines, i), ("bronze", "customer_events", events, e),
         ("silver", "orders", orders, o.dropDuplicates(["order_id"])), ("silver", "order_items", lines, i.dropDuplicates(["order_item_id"])),
-        ("gold", "fact_sales", o.dropDuplicates(["order_id"]), reference.fact_sales(spark, d)), ("gold", "fact_order_items", i, reference.fact_order_items(spark, d)),
+        ("gold", "fact_sales", o.dropDuplicates(["order_id"]), reference.fact(spark, d, "fact_sales")), ("gold", "fact_order_items", i, reference.fact(spark, d, "fact_order_items")),
     ):
         for side, rows in (("expected", source), ("actual", actual)):
             one = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(layer).alias("layer"), F.lit(name).alias("object_name"), F.lit(side).alias("side"), "n")

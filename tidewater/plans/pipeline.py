@@ -6,6 +6,8 @@ stage that failed can be run again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -108,6 +110,12 @@ def gold_sources(silver: dict[str, DataFrame], promotions: DataFrame) -> dict[st
     }
 
 
+def _side_by_side(tables: dict[str, Callable[[], DataFrame]], store: SnapshotStore, at_once: int = 4) -> None:
+    """Writes tables that do not need each other, a few at a time."""
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(lambda item: store.write(item[0], item[1]()), tables.items()))
+
+
 def publish_gold(store: SnapshotStore, dimensions: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
     """Publishes all dimensions, facts, aggregates and KPIs; returns the reconciliation of this run.
 
@@ -121,33 +129,28 @@ def publish_gold(store: SnapshotStore, dimensions: dict[str, DataFrame], silver:
         store.write(f"staged_{name}", dim)
     held = {n: store.read(f"staged_{n}") for n in dimensions}
     sources = gold_sources(silver, store.read("staged_dim_promotion"))
-    checks = []
-    for name, (rows, _, amount) in sources.items():
-        store.write(f"staged_{name}", facts.build_fact(name, rows, held))
-        checks.append((name, rows, store.read(f"staged_{name}"), amount, amount))
+    _side_by_side({f"staged_{name}": lambda name=name, rows=rows: facts.build_fact(name, rows, held) for name, (rows, _, _) in sources.items()}, store)
+    checks = [(name, rows, store.read(f"staged_{name}"), amount, amount) for name, (rows, _, amount) in sources.items()]
     store.write("reconciliation", marts.reconcile(checks))
     result = store.read("reconciliation")
     if failed := [r.check_name for r in result.where("status = 'FAIL'").collect()]:  # one row per check
         raise RuntimeError(f"does not reconcile: {', '.join(failed)}")
-    for name in (*dimensions, "dim_promotion", "dim_channel"):
-        store.write(name, store.read(f"staged_{name}"))
-    for name, (_, key, _) in sources.items():
-        store.write(name, sync_snapshot(store.read(name), store.read(f"staged_{name}"), [key], check=False))
+    published = {name: lambda name=name: store.read(f"staged_{name}") for name in (*dimensions, "dim_promotion", "dim_channel")}
+    published |= {name: lambda name=name, key=key: sync_snapshot(store.read(name), store.read(f"staged_{name}"), [key], check=False) for name, (_, key, _) in sources.items()}
+    _side_by_side(published, store)
     fact = {n: store.read(n) for n in sources}
     times = [("fact_sales", "order_timestamp"), ("fact_payments", "payment_timestamp"), ("fact_returns", "return_timestamp"), ("fact_shipments", "delivered_timestamp"), ("fact_inventory_movements", "event_timestamp"), ("fact_customer_events", "event_timestamp")]
     bounds = marts.calendar_bounds(*[fact[n].select(at) for n, at in times]).first()  # one row of two days
+    formed = {
+        "fact_inventory_snapshot": lambda: facts.inventory_snapshot(fact["fact_inventory_movements"]), "agg_daily_store_sales": lambda: marts.daily_store_sales(fact["fact_sales"]),
+        "agg_daily_product_sales": lambda: marts.daily_product_sales(fact["fact_order_items"], fact["fact_returns"]), "agg_channel_funnel": lambda: marts.channel_funnel(fact["fact_customer_events"]),
+        "agg_supplier_performance": lambda: marts.supplier_performance(fact["fact_order_items"]), "agg_promotion_performance": lambda: marts.promotion_performance(fact["fact_order_items"]),
+        "retail_kpi_daily": lambda: marts.kpi_daily(fact["fact_sales"], fact["fact_returns"]), "kpi_catalog": lambda: spark.createDataFrame([(n, ",".join(g), t, m) for n, g, t, m in KPIS], "kpi string, grain string, source string, meaning string"),
+    }
     if bounds["first_date"]:
-        store.write("dim_date", scd.date_dimension(spark, bounds["first_date"], bounds["last_date"]))
-    store.write("fact_inventory_snapshot", facts.inventory_snapshot(fact["fact_inventory_movements"]))
-    store.write("agg_daily_store_sales", marts.daily_store_sales(fact["fact_sales"]))
-    store.write("agg_daily_product_sales", marts.daily_product_sales(fact["fact_order_items"], fact["fact_returns"]))
-    store.write("agg_channel_funnel", marts.channel_funnel(fact["fact_customer_events"]))
-    store.write("agg_inventory_health", marts.inventory_health(store.read("fact_inventory_snapshot")))
-    store.write("agg_supplier_performance", marts.supplier_performance(fact["fact_order_items"]))
-    store.write("agg_promotion_performance", marts.promotion_performance(fact["fact_order_items"]))
-    store.write("retail_kpi_daily", marts.kpi_daily(fact["fact_sales"], fact["fact_returns"]))
-    store.write("retail_kpi_monthly", marts.kpi_monthly(store.read("retail_kpi_daily")))
-    store.write("kpi_catalog", spark.createDataFrame([(n, ",".join(g), t, m) for n, g, t, m in KPIS], "kpi string, grain string, source string, meaning string"))
+        formed["dim_date"] = lambda: scd.date_dimension(spark, bounds["first_date"], bounds["last_date"])
+    _side_by_side(formed, store)
+    _side_by_side({"agg_inventory_health": lambda: marts.inventory_health(store.read("fact_inventory_snapshot")), "retail_kpi_monthly": lambda: marts.kpi_monthly(store.read("retail_kpi_daily"))}, store)
     return result
 
 
