@@ -113,9 +113,8 @@ def _dimension(spark: SparkSession, d: str, dim: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    # The dimensions have stores of their own, so their merges run side by side.
-    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-        parts = list(pool.map(lambda dim: _dimension(spark, d, dim).select(F.lit(dim).alias("dim_name"), "business_key", "valid_from_us", "valid_to_us"), DIMENSIONS))
+    # One dimension after the other: side by side their plans would fill a small driver.
+    parts = [_dimension(spark, d, dim).select(F.lit(dim).alias("dim_name"), "business_key", "valid_from_us", "valid_to_us") for dim in DIMENSIONS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
