@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .fs import Files, written
+from .fs import Files, times_cleared, written
 
 _MADE: dict[tuple, DataFrame] = {}
 _LOCKS: dict[tuple, threading.Lock] = {}
@@ -19,7 +19,7 @@ def derived(spark: SparkSession, folder: str, name: str, make: Callable[[], Data
 
     The key holds names, sizes and times of the folder's files, so a changed folder is computed anew.
     """
-    key = (spark.sparkContext.applicationId, folder, name, Files(spark).fingerprint(folder))
+    key = (spark.sparkContext.applicationId, folder, name, Files(spark).fingerprint(folder), times_cleared())
     with _GUARD:
         lock = _LOCKS.setdefault(key, threading.Lock())
     with lock:

@@ -104,8 +104,9 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-#: Scratch paths of this process, for clear_scratch.
+#: Scratch paths of this process, for clear_scratch, and how often they were cleared.
 _MADE: list[str] = []
+_CLEARED: list[int] = [0]
 
 
 def clear_scratch(spark: SparkSession) -> int:
@@ -113,9 +114,15 @@ def clear_scratch(spark: SparkSession) -> int:
     files, n = Files(spark), len(_MADE)
     while _MADE:
         files.delete(_MADE.pop())
+    _CLEARED[0] += 1
     return n
 
 
+def times_cleared() -> int:
+    """Changes when written tables of this process are gone."""
+    return _CLEARED[0]
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; nothing exists there yet."""
     path = f"{shared_dir(spark)}/tidewater/{name}-{uuid.uuid4().hex}"
