@@ -43,11 +43,18 @@ FACTS = {
 }
 
 
+def meet(name: str, rows: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Rows with the keys of those of the fact's dimensions that are given; keys that rows have are kept."""
+    for (out, dim, business_key), at in FACTS[name].meets:
+        if dim in dimensions and out not in rows.columns:
+            rows = resolve_key(rows, dimensions[dim], dim, business_key, business_key, at, out)
+    return rows
+
+
 def build_fact(name: str, rows: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """Rows with their keys, day and kept columns; one row per row, unmatched ones with special keys."""
     fact = FACTS[name]
-    for (out, dim, business_key), at in fact.meets:
-        rows = resolve_key(rows, dimensions[dim], dim, business_key, business_key, at, out)
+    rows = meet(name, rows, dimensions)
     day, moment = fact.day
     own: list[Column | str] = [surrogate_key(F.lit(name), fact.source_key).alias(fact.key), fact.source_key, *[m[0][0] for m in fact.meets]]
     if fact.channel:
@@ -55,27 +62,48 @@ def build_fact(name: str, rows: DataFrame, dimensions: dict[str, DataFrame]) ->
     return rows.select(*own, date_key(F.col(moment)).alias(day), *fact.keeps)
 
 
+def keyed_orders(orders: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Orders with customer_key and store_key as of their time, so their lines, of which there are more, need not look them up."""
+    return meet("fact_sales", orders, dimensions)
+
+
+def with_order(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines whose order is there, with the order's context."""
+    wanted = ("order_id", "customer_id", "store_id", "channel", "order_status", "order_timestamp", "currency", CUSTOMER[0], STORE[0])
+    context = orders.select(*[c for c in wanted if c in orders.columns])
+    return items.join(context, "order_id")
+
+
+def gross_line_amount() -> Column:
+    return (F.col("unit_price") * F.col("quantity")).cast("decimal(18,2)").alias("gross_line_amount")
+
+
+def with_supplier(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines with the product's supplier where it is known."""
+    return lines.join(products.select("product_id", "supplier_id"), "product_id", "left")
+
+
 def order_lines(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Lines whose order is there, with the order's context and, where known, the product's supplier."""
-    context = orders.select("order_id", "customer_id", "store_id", "channel", "order_status", "order_timestamp", "currency")
-    return items.join(context, "order_id").join(products.select("product_id", "supplier_id"), "product_id", "left").withColumn("gross_line_amount", (F.col("unit_price") * F.col("quantity")).cast("decimal(18,2)"))
+    return with_supplier(with_order(items, orders), products).select("*", gross_line_amount())
 
 
 def attribute_promotion(lines: DataFrame, promotions: DataFrame, line_key: str, at: str) -> DataFrame:
     """Adds the promotion_key of the best promotion of the product on that day, else Not Applicable.
 
-    Best is the greatest discount_percentage, then the smallest promotion_id. Promotions that cover
-    a line are reduced to one by aggregation on the line's day and product before they meet it, so a
-    product with many lines and promotions never multiplies the lines.
+    Best is the greatest discount_percentage, then the smallest promotion_id. Promotions become
+    disjoint periods of a product, each with its best, before lines meet them, so a product with many
+    lines and promotions never multiplies the lines, and lines move by product once.
     """
     real = promotions.where(~F.col("promotion_id").isin(UNKNOWN, NOT_APPLICABLE))
     day = F.to_date(F.col(at))
-    asked = lines.select(F.col("product_id").alias("__p"), day.alias("__d")).where("__p IS NOT NULL AND __d IS NOT NULL").distinct()
-    covers = asked.join(real, (F.col("__p") == real["product_id"]) & (F.col("__d") >= real["start_date"]) & (F.col("__d") <= real["end_date"]))
+    edges = real.where("start_date <= end_date").select(F.col("product_id").alias("__p"), F.explode(F.array("start_date", F.date_add("end_date", 1))).alias("__d")).where("__p IS NOT NULL").distinct()
+    periods = edges.withColumn("__next", F.lead("__d").over(Window.partitionBy("__p").orderBy("__d")))
+    covers = periods.join(real, (F.col("__p") == real["product_id"]) & (F.col("__d") >= real["start_date"]) & (F.col("__d") <= real["end_date"]))
     order = F.struct(F.col("discount_percentage").isNull().alias("a"), (-F.col("discount_percentage")).alias("b"), F.col("promotion_id").alias("c"))
-    best = covers.groupBy("__p", "__d").agg(F.min_by("promotion_key", order).alias("__best"))
-    joined = lines.join(best, (lines["product_id"] == best["__p"]) & (F.to_date(lines[at]) == best["__d"]), "left")
-    return joined.withColumn("promotion_key", F.coalesce("__best", F.lit(member_key("dim_promotion", NOT_APPLICABLE)))).drop("__p", "__d", "__best")
+    best = covers.groupBy("__p", "__d", "__next").agg(F.min_by("promotion_key", order).alias("__best"))
+    joined = lines.join(best, (lines["product_id"] == best["__p"]) & (day >= best["__d"]) & (day < best["__next"]), "left")
+    return joined.withColumn("promotion_key", F.coalesce("__best", F.lit(member_key("dim_promotion", NOT_APPLICABLE)))).drop("__p", "__d", "__next", "__best")
 
 
 def with_order_context(rows: DataFrame, orders: DataFrame, own_time: str) -> DataFrame:

@@ -19,7 +19,9 @@ from ..operators.merge import merge_current_state, merge_upsert, sync_snapshot
 from ..operators.quality import enforce, flag, load_rules, metrics, split, with_references
 from ..operators.standardize import deduplicate_latest, standardize, with_lineage
 from ..sources.files import scan
+from ..sources.fs import release
 from ..sources.store import SnapshotStore
+from ..sources.tables import small
 
 
 @dataclass(frozen=True)
@@ -93,15 +95,14 @@ def run_gold(store: SnapshotStore, dimensions: dict[str, DataFrame], orders: Dat
     return result
 
 
-def gold_sources(silver: dict[str, DataFrame], promotions: DataFrame) -> dict[str, tuple[DataFrame, str, str | None]]:
+def gold_sources(silver: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str, str | None]]:
     """Per fact: its source rows with all that the fact looks up, their key, and the amount that must reconcile."""
     orders = silver["orders"]
     context = lambda name, at: facts.with_order_context(silver[name], orders, at)
-    lines = facts.order_lines(silver["order_items"], orders, silver["products"])
     late = {"delivery_days": F.datediff("delivered_timestamp", "shipped_timestamp"), "delivery_variance_days": F.datediff("delivered_timestamp", "expected_delivery_timestamp")}
     return {
         "fact_sales": (orders, "order_id", "net_amount"),
-        "fact_order_items": (facts.attribute_promotion(lines, promotions, "order_item_id", "order_timestamp"), "order_item_id", "line_amount"),
+        "fact_order_items": (facts.order_lines(silver["order_items"], orders, silver["products"]), "order_item_id", "line_amount"),
         "fact_payments": (context("payments", "payment_timestamp"), "payment_id", "payment_amount"),
         "fact_returns": (context("returns", "return_timestamp"), "return_id", "refund_amount"),
         "fact_inventory_movements": (silver["inventory_events"], "inventory_event_id", None),
@@ -116,28 +117,43 @@ def _side_by_side(tables: dict[str, Callable[[], DataFrame]], store: SnapshotSto
         list(pool.map(lambda item: store.write(item[0], item[1]()), tables.items()))
 
 
+def _one_by_one(tables: dict[str, Callable[[], DataFrame]], store: SnapshotStore) -> None:
+    """Writes large tables one after the other, so the shuffle files of one are gone before the next."""
+    for name, rows in tables.items():
+        store.write(name, rows())
+        release(store.spark)
+
+
 def publish_gold(store: SnapshotStore, dimensions: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
     """Publishes all dimensions, facts, aggregates and KPIs; returns the reconciliation of this run.
 
     ``silver`` has orders, order_items, products, payments, returns, shipments, promotions,
     inventory_events and customer_events; ``dimensions`` the four type-two ones. Facts are written
     aside and checked against their sources first, so a FAIL raises before anything that readers see
-    has changed. Facts are synchronised by key, aggregates formed anew from the published facts.
+    has changed. Facts and dimensions written aside are whole snapshots and take the place of those
+    published before by being moved, so there is one copy of each; aggregates are formed anew from them.
     """
     spark = store.spark
     for name, dim in (dimensions | {"dim_promotion": scd.promotion_dimension(silver["promotions"]), "dim_channel": scd.channel_dimension(spark)}).items():
         store.write(f"staged_{name}", dim)
-    held = {n: store.read(f"staged_{n}") for n in dimensions}
-    sources = gold_sources(silver, store.read("staged_dim_promotion"))
-    _side_by_side({f"staged_{name}": lambda name=name, rows=rows: facts.build_fact(name, rows, held) for name, (rows, _, _) in sources.items()}, store)
+    held = {n: small(store.read(f"staged_{n}")) for n in dimensions}
+    sources = gold_sources(silver)
+
+    def built(name: str) -> DataFrame:
+        rows = sources[name][0]
+        if name == "fact_order_items":  # customers and stores are looked up once per order, by fact_sales
+            lines = facts.order_lines(silver["order_items"], store.read("staged_fact_sales"), silver["products"])
+            rows = facts.attribute_promotion(lines, store.read("staged_dim_promotion"), "order_item_id", "order_timestamp")
+        return facts.build_fact(name, rows, held)
+
+    _one_by_one({f"staged_{name}": lambda name=name: built(name) for name in sources}, store)
     checks = [(name, rows, store.read(f"staged_{name}"), amount, amount) for name, (rows, _, amount) in sources.items()]
     store.write("reconciliation", marts.reconcile(checks))
     result = store.read("reconciliation")
     if failed := [r.check_name for r in result.where("status = 'FAIL'").collect()]:  # one row per check
         raise RuntimeError(f"does not reconcile: {', '.join(failed)}")
-    published = {name: lambda name=name: store.read(f"staged_{name}") for name in (*dimensions, "dim_promotion", "dim_channel")}
-    published |= {name: lambda name=name, key=key: sync_snapshot(store.read(name), store.read(f"staged_{name}"), [key], check=False) for name, (_, key, _) in sources.items()}
-    _side_by_side(published, store)
+    for name in (*dimensions, "dim_promotion", "dim_channel", *sources):
+        store.take(name, f"staged_{name}")
     fact = {n: store.read(n) for n in sources}
     times = [("fact_sales", "order_timestamp"), ("fact_payments", "payment_timestamp"), ("fact_returns", "return_timestamp"), ("fact_shipments", "delivered_timestamp"), ("fact_inventory_movements", "event_timestamp"), ("fact_customer_events", "event_timestamp")]
     bounds = marts.calendar_bounds(*[fact[n].select(at) for n, at in times]).first()  # one row of two days
@@ -149,7 +165,7 @@ def publish_gold(store: SnapshotStore, dimensions: dict[str, DataFrame], silver:
     }
     if bounds["first_date"]:
         formed["dim_date"] = lambda: scd.date_dimension(spark, bounds["first_date"], bounds["last_date"])
-    _side_by_side(formed, store)
+    _one_by_one(formed, store)
     _side_by_side({"agg_inventory_health": lambda: marts.inventory_health(store.read("fact_inventory_snapshot")), "retail_kpi_monthly": lambda: marts.kpi_monthly(store.read("retail_kpi_daily"))}, store)
     return result
 

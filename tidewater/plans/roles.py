@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.derived import derived
-from ..sources.tables import table
+from ..sources.tables import small, table
 
 LINES = """SELECT order_item_id, order_id, product_id, store_id, quantity, unit_price, discount_amount, CAST((unit_price - discount_amount) * tax_rate AS DECIMAL(18,2)) AS tax_amount,
   CAST(unit_price - discount_amount + CAST((unit_price - discount_amount) * tax_rate AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS line_amount, returned, shipped_at FROM (
@@ -61,17 +61,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 #: Roles that others are made of, and tables that take a pass over all lines: written once per folder.
-SHARED = ("lines", "orders", "products", "returns")
+SHARED = ("lines", "orders", "products")
 
 
-def role(spark: SparkSession, d: str, name: str) -> DataFrame:
+def role(spark: SparkSession, d: str, name: str, own: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A role of the folder's tables; ``own`` takes the place of roles that it is made of, and then nothing is shared."""
     def make() -> DataFrame:
         text = ROLES[name]
         needs = {t: table(spark, d, t) for t in TABLES if "{" + t + "}" in text}
-        needs |= {p: role(spark, d, r) for p, r in (("lines", "lines"), ("placed", "orders")) if "{" + p + "}" in text}
+        if name == "lines":
+            needs["supplier"] = small(needs["supplier"])
+        needs |= {p: (own or {}).get(r) or role(spark, d, r) for p, r in (("lines", "lines"), ("placed", "orders")) if "{" + p + "}" in text}
         return spark.sql(text, **needs)
 
-    return derived(spark, d, f"role-{name}", make) if name in SHARED else make()
+    return derived(spark, d, f"role-{name}", make) if name in SHARED and own is None else make()
 
 
 def role_sql(name: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .fs import Files, times_cleared, written
+from .fs import Files, release, times_cleared, written
 
 _MADE: dict[tuple, DataFrame] = {}
 _LOCKS: dict[tuple, threading.Lock] = {}
@@ -25,4 +25,5 @@ def derived(spark: SparkSession, folder: str, name: str, make: Callable[[], Data
     with lock:
         if key not in _MADE:
             _MADE[key] = written(make(), f"derived-{name}")
+            release(spark)
         return _MADE[key]

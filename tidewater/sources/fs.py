@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import tempfile
 import uuid
@@ -26,6 +27,10 @@ class Files:
         p, fs = self._at(path)
         fs.delete(p, True)
 
+    def make_folder(self, path: str) -> None:
+        p, fs = self._at(path)
+        fs.mkdirs(p)
+
     def names(self, path: str) -> list[str]:
         p, fs = self._at(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
@@ -130,9 +135,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of jobs that are over: it does so once the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def written(df, name: str):
     """The frame written to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

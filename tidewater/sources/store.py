@@ -61,12 +61,27 @@ class SnapshotStore:
         """Replaces the table, also by something computed from it; older versions are removed later."""
         old = self.files.read_json(self._pointer(table))["version"] if self.exists(table) else 0
         path = f"{self.root}/{table}/v={old + 1}"
-        rows.write.mode("overwrite").parquet(path)
-        self.files.write_json(self._pointer(table), {"version": old + 1, "schema": rows.schema.jsonValue()})
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        return self._point(table, old + 1, rows.schema.jsonValue())
+
+    def take(self, table: str, staged: str) -> int:
+        """Replaces the table by the current version of ``staged``, which is moved, not copied, and then gone."""
+        now, old = self.pointer(staged), (self.pointer(table) or {"version": 0})["version"]
+        path = f"{self.root}/{table}/v={old + 1}"
+        self.files.delete(path)  # of a run that broke off
+        self.files.make_folder(f"{self.root}/{table}")
+        self.files.rename(f"{self.root}/{staged}/v={now['version']}", path)
+        self._point(table, old + 1, now["schema"])
+        self.files.delete(f"{self.root}/{staged}")
+        return old + 1
+
+    def _point(self, table: str, version: int, schema: dict) -> int:
+        """Makes a whole version current and removes those out of keeping."""
+        self.files.write_json(self._pointer(table), {"version": version, "schema": schema})
         for name in self.files.names(f"{self.root}/{table}"):
-            if name.startswith("v=") and int(name[2:]) <= old + 1 - self.keep:
+            if name.startswith("v=") and int(name[2:]) <= version - self.keep:
                 self.files.delete(f"{self.root}/{table}/{name}")
-        return old + 1
+        return version
 
     def append_once(self, table: str, rows: DataFrame, token: str) -> None:
         """Adds rows under ``token``; the same token again replaces what it wrote before."""
