@@ -1,8 +1,14 @@
 """What the large queries leave on disk while they run: no wide copies of what they only sum or publish."""
 
+from tidewater.operators import marts
+from tidewater.plans import reference
 from tidewater.sources.store import SnapshotStore
 
 
+def _no_fact(spark, d, name):
+    raise AssertionError(f"{name} is written whole")
+
+
 def test_published_tables_are_moved_not_copied(spark, tmp_path):
     store = SnapshotStore(spark, f"file://{tmp_path}")
     for n in (3, 5):  # the second takes the place of the first
@@ -10,3 +16,14 @@ def test_published_tables_are_moved_not_copied(spark, tmp_path):
         store.take("x", "staged_x")
         assert store.read("x").count() == n and not store.exists("staged_x") and not (tmp_path / "staged_x").exists()
     assert len(list((tmp_path / "x").glob("v=*"))) == store.keep
+
+
+def test_reconciliation_writes_no_fact(spark, folder, monkeypatch):
+    monkeypatch.setattr(reference, "fact", _no_fact)
+    assert {r.status for r in reference.reconciliation(spark, folder).collect()} == {"PASS"}
+
+
+def test_reconciliation_sees_what_a_fact_repeats(spark):
+    rows = spark.createDataFrame([(1,), (2,)], "m int")
+    found = marts.reconcile([("a", rows, lambda: rows.unionByName(rows), "m", "m"), ("b", rows, rows, None, None)])
+    assert {r.check_name: (r.published_rows, r.status) for r in found.collect()} == {"a": (4, "FAIL"), "b": (2, "PASS")}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_divide
+from ..sources.fs import release, written
 
 MONEY = "decimal(28,2)"
 
@@ -110,16 +113,19 @@ def calendar_bounds(*times: DataFrame) -> DataFrame:
     return out.agg(F.min("lo").alias("first_date"), F.max("hi").alias("last_date"))
 
 
-def reconcile(checks: list[tuple[str, DataFrame, DataFrame, str | None, str | None]]) -> DataFrame:
+def reconcile(checks: list[tuple[str, DataFrame, DataFrame | Callable[[], DataFrame], str | None, str | None]]) -> DataFrame:
     """Per (name, source, published, source amount, published amount): rows and exact sums, PASS or FAIL.
 
     Rows pass if no more are published than there were, amounts if they agree to the cent.
+    Each side becomes one row before the next begins, so what they shuffle is never held together.
     """
     sides = None
     for name, source, published, a, b in checks:
         for side, rows, amount in (("source", source, a), ("published", published, b)):
             total = F.coalesce(F.sum(amount), F.lit(0)).cast(MONEY) if amount else F.lit(None).cast(MONEY)
-            one = rows.agg(F.count(F.lit(1)).alias("n"), total.alias("m")).select(F.lit(name).alias("check_name"), F.lit(side).alias("side"), "n", "m")
+            one = (rows() if callable(rows) else rows).agg(F.count(F.lit(1)).alias("n"), total.alias("m")).select(F.lit(name).alias("check_name"), F.lit(side).alias("side"), "n", "m")
+            one = written(one, "reconciled")
+            release(one.sparkSession)
             sides = one if sides is None else sides.unionByName(one)
     of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
     both = sides.groupBy("check_name").agg(of("source", "n").alias("source_rows"), of("published", "n").alias("published_rows"), of("source", "m").alias("source_amount"), of("published", "m").alias("published_amount"))
