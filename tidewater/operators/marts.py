@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import safe_divide
+from ..contracts import NOT_APPLICABLE, UNKNOWN
+from ..functions.columns import date_key, safe_divide
 from ..sources.fs import release, written
+from .scd import member_key
 
 MONEY = "decimal(28,2)"
 
@@ -47,6 +49,38 @@ def daily_product_sales(items: DataFrame, returns: DataFrame) -> DataFrame:
     return out.fillna(0, ["sold_units", "returned_units"]).withColumn("return_rate", safe_divide(c("returned_units"), c("sold_units")))
 
 
+_MOVES = {"sold_units": "int", "gross_product_sales": "decimal(18,2)", "product_discounts": "decimal(18,2)", "product_revenue": "decimal(18,2)", "returned_units": "int", "refund_amount": "decimal(18,2)"}
+
+
+def product_moves(lines: DataFrame, returns: DataFrame) -> DataFrame:
+    """Order lines and returns as rows of product, time and what was sold or came back."""
+    c = F.col
+    sold = {"product_id": c("product_id"), "at": c("order_timestamp"), "sold_units": c("quantity"), "gross_product_sales": c("gross_line_amount"), "product_discounts": c("discount_amount"), "product_revenue": c("line_amount")}
+    back = {"product_id": c("product_id"), "at": c("return_timestamp"), "returned_units": c("return_quantity"), "refund_amount": c("refund_amount")}
+    return _side_by_side([(lines, sold), (returns, back)], _MOVES)
+
+
+def daily_product_sales_at(moves: DataFrame, products: DataFrame) -> DataFrame:
+    """:func:`daily_product_sales` of :func:`product_moves`, moved once, by product.
+
+    A version belongs to one product, so its days are whole where the product's rows meet; they are
+    not moved again with their keys. Only rows of no version, which share the special keys, are.
+    """
+    c = F.col
+    sought = F.coalesce(c("product_id"), F.concat(F.lit("\0"), F.xxhash64(*moves.columns).cast("string")))
+    rows = moves.select(date_key(c("at")).alias("order_date_key"), "product_id", sought.alias("__sought"), "at", *_MOVES)
+    held = products.where(~c("product_id").isin(UNKNOWN, NOT_APPLICABLE)).select(c("product_id").alias("__sought"), "valid_from", "valid_to", "surrogate_key")
+    met = rows.join(held, (rows["__sought"] == held["__sought"]) & (c("at") >= c("valid_from")) & (c("valid_to").isNull() | (c("at") <= c("valid_to"))), "left").drop(held["__sought"])
+    money = {m: MONEY if k.startswith("decimal") else "bigint" for m, k in _MOVES.items()}
+    sums = [_sum(m, k).alias(m) for m, k in money.items()]
+    days = met.groupBy("__sought", "order_date_key", "surrogate_key", c("product_id").isNull().alias("__none")).agg(F.count("surrogate_key").alias("__held"), *sums)
+    known = days.where("__held > 0").select("order_date_key", c("surrogate_key").alias("product_key"), *_MOVES)
+    special = F.when(c("__none"), F.lit(member_key("dim_product", NOT_APPLICABLE))).otherwise(F.lit(member_key("dim_product", UNKNOWN)))
+    others = days.where("__held = 0").groupBy("order_date_key", special.alias("product_key")).agg(*sums)
+    out = known.unionByName(others).fillna(0, ["sold_units", "returned_units"])
+    return out.withColumn("return_rate", safe_divide(c("returned_units"), c("sold_units")))
+
+
 def channel_funnel(events: DataFrame) -> DataFrame:
     """Distinct sessions per day and device: all, with a view, with a cart, with a purchase.
 
